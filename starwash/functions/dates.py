@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starwash.functions.text import strip
 
-MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 DAY = r"(?:3[01]|[12]\d|0?[1-9])"
 MONTH = r"(?:1[0-2]|0?[1-9])"
 
@@ -24,9 +23,17 @@ IMPUTED_LABELS = [UNPARSEABLE, DMY_BY_LOAD, MDY_BY_LOAD, DMY_ASSUMED]
 def _rearranged(s: Column, shape: str, order: str) -> Column:
     """Date from text of a shape; ``order`` puts its groups as year-month-day. Null when it is no date.
 
-    The cast of a wrong day gives null at no cost, where a format-driven parser throws once per row.
+    Other text matches the second alternative, which leaves no groups. The cast of a wrong day gives
+    null at no cost, where a format-driven parser throws once per row.
     """
-    return F.when(s.rlike(shape), F.regexp_replace(s, shape, order).try_cast("date"))
+    return F.regexp_replace(s, f"(?s)^(?:{shape}|.*)$", order).try_cast("date")
+
+
+def _numeric_date(s: Column, year_first: str, day_first: str) -> Column:
+    """Both numeric orders at once; the arguments are their separators."""
+    ymd = rf"(\d{{4}}){year_first}({MONTH}){year_first}({DAY})"
+    dmy = rf"({DAY}){day_first}({MONTH}){day_first}(\d{{4}})"
+    return _rearranged(s, f"{ymd}|{dmy}", "$1$6-$2$5-$3$4")
 
 
 def _named_month(s: Column, shape: str, pattern: str) -> Column:
@@ -37,9 +44,8 @@ def parse_dates(c: Column) -> Column:
     """``2024-01-05``, ``05-Jan-2024`` or ``05/01/2024`` (day first); anything else is null."""
     s = strip(c)
     return F.coalesce(
-        _rearranged(s, rf"^(\d{{4}})-({MONTH})-({DAY})$", "$1-$2-$3"),
-        _rearranged(s, rf"^({DAY})/({MONTH})/(\d{{4}})$", "$3-$2-$1"),
-        _named_month(s, rf"(?i)^{DAY}-(?:{MONTHS})-\d{{4}}$", "d-MMM-yyyy"),
+        _numeric_date(s, "-", "/"),
+        _named_month(s, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
     )
 
 
@@ -47,10 +53,9 @@ def parse_flexible_date(c: Column) -> Column:
     """``parse_dates`` plus ``2024/01/05``, ``05-01-2024`` (day first) and ``Jan 5, 2024``."""
     s = strip(c)
     return F.coalesce(
-        _rearranged(s, rf"^(\d{{4}})[-/]({MONTH})[-/]({DAY})$", "$1-$2-$3"),
-        _rearranged(s, rf"^({DAY})[-/]({MONTH})[-/](\d{{4}})$", "$3-$2-$1"),
-        _named_month(s, rf"(?i)^{DAY}-(?:{MONTHS})-\d{{4}}$", "d-MMM-yyyy"),
-        _named_month(s, rf"(?i)^(?:{MONTHS}) {DAY}, \d{{4}}$", "MMM d, yyyy"),
+        _numeric_date(s, "[-/]", "[-/]"),
+        _named_month(s, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+        _named_month(s, r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     )
 
 
@@ -63,9 +68,9 @@ def resolve_ambiguous_date(
     reading that equals the load date, then day-month. Unreadable text has a null date.
     """
     s = strip(F.col(text))
-    two_numbers = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})$"
+    two_numbers = r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
     readings = df.withColumns({
-        "_iso": _rearranged(s, r"^(\d{4})[-/](\d{2})[-/](\d{2})$", "$1-$2-$3"),
+        "_iso": _rearranged(s, r"(\d{4})[-/](\d{2})[-/](\d{2})", "$1-$2-$3"),
         "_dmy": _rearranged(s, two_numbers, "$3-$2-$1"),
         "_mdy": _rearranged(s, two_numbers, "$3-$1-$2"),
         "_load": load_date,

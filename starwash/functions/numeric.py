@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from starwash.functions.text import strip
-
-NUMBER_SHAPE = r"(?i)^[+-]?(inf(inity)?|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)$"
+# Texts the cast accepts although they are no numbers in a CSV: 1d, 1f, 0x1p3, NaN.
+JAVA_NUMBER = r"[dDxX]|[0-9.][fF]|[nN][aA][nN]"
 
 
 def nan_to_null(c: Column) -> Column:
@@ -20,17 +19,13 @@ def round_half_even(c: Column, digits: int = 2) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    """Text to double; text that is not a number becomes null.
-
-    The shape test keeps out what Spark's cast accepts but a CSV tool does not, such as ``1d``.
-    """
-    s = strip(c)
-    return F.when(s.rlike(NUMBER_SHAPE), s.try_cast("double"))
+    """Text to double, white space around it allowed; text that is not a number becomes null."""
+    return F.when(~c.rlike(JAVA_NUMBER), c.try_cast("double"))
 
 
 def parse_currency(c: Column) -> Column:
     """Money text such as ``$1,234.50`` to double."""
-    return parse_number(F.regexp_replace(c, r"[^0-9.\-]", ""))
+    return F.regexp_replace(c, r"[^0-9.\-]+", "").try_cast("double")
 
 
 def net_amount(quantity: Column, price: Column, discount_percent: Column) -> Column:

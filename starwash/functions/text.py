@@ -9,19 +9,24 @@ WHITE_SPACE = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
-WHITE_RUN = r"[\s\p{Z}\x1c-\x1f\x85]+"
-
 # Texts a CSV reader of the pandas family takes as missing.
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# A run of cased letters, or a run of anything else.
+# Characters that have case, and a private-use character to mark word starts with.
 CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
-CASE_RUNS = f"([{CASED}]+|[^{CASED}]+)"
+WORD_START = "\ue000 "
+
+# Not a letter or blank, then a letter or anything beyond ASCII: a word start that no blank precedes.
+# The characters are listed one by one, which the regex engine tests by table, unlike ranges.
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NO_LETTERS = "".join(rf"\x{i:02x}" for i in range(128) if chr(i) not in LETTERS)
+INNER_START = f"[^{LETTERS} ][^{NO_LETTERS}]"
 
-EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+# Applied to text without white space.
+EMAIL_SHAPE = r"^[^@]+@[^@]+\.[^@]+$"
 
 
 def strip(c: Column) -> Column:
@@ -29,32 +34,39 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
-def collapse_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, WHITE_RUN, " ")
+def plain_blanks(c: Column) -> Column:
+    """Every white space character as a blank, none at the ends."""
+    return F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
+
+
+def single_blanks(c: Column) -> Column:
+    """Runs of blanks as one blank; most texts have none and skip the regex."""
+    return F.when(c.contains("  "), F.regexp_replace(c, " +", " ")).otherwise(c)
 
 
 def title_case(c: Column) -> Column:
     """Capital after any character without case: ``o'brien 7-eleven`` -> ``O'Brien 7-Eleven``.
 
-    ``initcap`` agrees on plain words separated by blanks, so only other texts are split.
+    ``initcap`` only starts a word after a blank, so a marker with a blank goes before the other word
+    starts and is taken out again. Texts without such a start do not need it.
     """
-    runs = F.regexp_extract_all(c, F.lit(CASE_RUNS), F.lit(1))
-    split = F.array_join(F.transform(runs, F.initcap), "")
-    return F.when(c.rlike("[^A-Za-z ]"), split).otherwise(F.initcap(c))
+    marked = F.regexp_replace(c, f"([^ {CASED}])(?=[{CASED}])", f"$1{WORD_START}")
+    by_mark = F.replace(F.initcap(marked), F.lit(WORD_START), F.lit(""))
+    return F.when(c.rlike(INNER_START), by_mark).otherwise(F.initcap(c))
 
 
 def empty_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def standard_text(c: Column) -> Column:
     """Trimmed, single-spaced, title-cased."""
-    return title_case(collapse_blanks(strip(c)))
+    return title_case(single_blanks(plain_blanks(c)))
 
 
 def clean_text(c: Column) -> Column:
     """Trimmed and single-spaced; blank becomes null."""
-    return empty_to_null(collapse_blanks(strip(c)))
+    return empty_to_null(single_blanks(plain_blanks(c)))
 
 
 def title_case_text(c: Column) -> Column:
@@ -64,8 +76,7 @@ def title_case_text(c: Column) -> Column:
 
 def clean_email(c: Column) -> Column:
     """Lower case without blanks; anything not shaped like an address becomes null."""
-    packed = F.lower(F.regexp_replace(strip(c), WHITE_RUN, ""))
-    return F.when(packed.rlike(EMAIL_SHAPE), packed)
+    return F.regexp_substr(F.lower(F.translate(c, WHITE_SPACE, "")), F.lit(EMAIL_SHAPE))
 
 
 def normalize_key(c: Column) -> Column:
@@ -81,7 +92,8 @@ def clean_text_columns(
     Each step uses its input more than once. As separate projections the input is computed once per
     row; nested in one expression it would be computed again for every use.
     """
-    out = df.withColumns({n: collapse_blanks(strip(F.col(src))) for n, src in sources.items()})
+    out = df.withColumns({n: plain_blanks(F.col(src)) for n, src in sources.items()})
+    out = out.withColumns({n: single_blanks(F.col(n)) for n in sources})
     if blank_to_null:
         out = out.withColumns({n: empty_to_null(F.col(n)) for n in sources})
     if title:

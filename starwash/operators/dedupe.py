@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
+def keep_first(df: DataFrame, key: str, order: str, usable: Column | None = None) -> DataFrame:
     """First row per ``key`` in the order of ``order`` (null is one key).
 
     Spark turns the filtered row number into a group limit that already runs before the shuffle:
     each task sends on at most one row per key, so a key with many copies does not pile up.
+
+    With ``usable`` it is the first row that meets the condition, and keys without such a row are
+    left out. Usable rows rank first, which needs no filter below the window: such a filter would
+    compute all the cleaning expressions that the condition refers to a second time.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(key).orderBy(order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    rank = W.partitionBy(key)
+    rank = rank.orderBy(order) if usable is None else rank.orderBy("_unusable", order)
+    kept = F.col("_rank") == 1
+    if usable is not None:
+        df = df.withColumn("_unusable", ~usable)
+        kept = kept & ~F.col("_unusable")
+    return df.withColumn("_rank", F.row_number().over(rank)).filter(kept).drop("_rank", "_unusable")
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starwash.sources.staging import stage
 
@@ -18,20 +18,24 @@ def fill_constant(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
     return df.na.fill(dict(values))
 
 
+def is_complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    """True where none of ``columns`` is null (or NaN)."""
+    types = dict(df.dtypes)
+    complete = F.lit(True)
+    for c in columns:
+        complete = complete & F.col(c).isNotNull()
+        if types[c] in ("double", "float"):
+            complete = complete & ~F.coalesce(F.isnan(c), F.lit(False))
+    return complete
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows in which none of ``columns`` is null (or NaN)."""
-    return df.na.drop(how="any", subset=list(columns))
+    return df.filter(is_complete(df, columns))
 
 
 def keep_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows that :func:`drop_incomplete` removes."""
-    types = dict(df.dtypes)
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(c).isNull()
-        if types[c] in ("double", "float"):
-            missing = missing | F.coalesce(F.isnan(c), F.lit(False))
-    return df.filter(missing)
+    return df.filter(~is_complete(df, columns))
 
 
 def fill_from_same_key(df: DataFrame, key: str, column: str, order: str) -> DataFrame:

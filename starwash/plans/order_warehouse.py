@@ -13,7 +13,7 @@ from starwash.operators.checks import (
     require_foreign_keys, require_not_null, require_rows, require_unique,
 )
 from starwash.operators.dedupe import keep_first
-from starwash.operators.fill import drop_incomplete
+from starwash.operators.fill import is_complete
 from starwash.operators.star import (
     build_date_dimension, build_dimension, build_filled_dimension, lookup_id, unmatched,
 )
@@ -54,8 +54,8 @@ def standardize(raw: DataFrame, order: str = "ord") -> DataFrame:
 
 def clean(raw: DataFrame, order: str = "ord") -> DataFrame:
     """Usable rows, the first per order id. Staged: all dimensions and the fact start from it."""
-    usable = drop_incomplete(standardize(raw, order), CORE)
-    return stage(keep_first(usable, "order_id", order))
+    typed = standardize(raw, order).filter(F.col("order_id").isNotNull())
+    return stage(keep_first(typed, "order_id", order, usable=is_complete(typed, CORE)))
 
 
 def dim_customer(orders: DataFrame, order: str = "ord") -> DataFrame:

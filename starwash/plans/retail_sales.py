@@ -8,7 +8,7 @@ from starwash.functions.dates import date_text, parse_dates
 from starwash.functions.numeric import net_amount, parse_number
 from starwash.functions.text import clean_text_columns, empty_to_null, strip
 from starwash.operators.dedupe import keep_first
-from starwash.operators.fill import drop_incomplete, fill_from_same_key
+from starwash.operators.fill import drop_incomplete, fill_from_same_key, is_complete
 from starwash.operators.star import build_date_dimension, build_dimension, lookup_id
 from starwash.sources.staging import stage
 
@@ -47,10 +47,9 @@ def clean(raw: DataFrame, order: str = "ord", dedupe_first: bool = True) -> Data
     then lost; otherwise the first usable copy survives.
     """
     typed = standardize(raw).filter(F.col("Sale_ID").isNotNull())
-    if not dedupe_first:
-        typed = drop_incomplete(typed, CORE)
+    usable = None if dedupe_first else is_complete(typed, CORE)
     # Staged: the region lookup, the dimensions and the fact all start from these rows.
-    unique = stage(keep_first(typed, "Sale_ID", order))
+    unique = stage(keep_first(typed, "Sale_ID", order, usable))
     located = drop_incomplete(fill_from_same_key(unique, "Store_Code", "Region", order), CORE)
     amount = net_amount(F.col("Quantity"), F.col("Unit_Price"), F.col("Discount_Percent"))
     return located.withColumn("Total_Amount", amount)

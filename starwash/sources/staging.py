@@ -34,3 +34,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = staged_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan out to all cores by ``keys`` when its files give work to few of them.
+
+    Text cleaning is bound by the processor, and one file may be a single task. A scan with at least
+    one split per two cores stays as it is, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 < cores else df

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starwash.sources.staging import spread
+
 # Date formats as (Spark, DuckDB).
 FORMATS = {
     "ISO": ("yyyy-MM-dd", "%Y-%m-%d"),
@@ -194,6 +196,7 @@ _ORDER_JOINS = {
 }
 _LEADS_TO = {"region": {"nation"}, "nation": {"customer"}, "customer": {"orders"}}
 
+SPREAD_BY = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"]}
 VIEWS = {
     "sales": (_sales_columns, "lineitem", _LINE_JOINS),
     "orders_raw": (_orders_columns, "lineitem", _LINE_JOINS),
@@ -250,6 +253,7 @@ def dirty(
     extra = [f"struct({', '.join(LINEITEM_ORDER)}) as {order}"] if order else []
     text, tables = _select(view, names, SPARK, extra)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    frames[tables[0]] = spread(frames[tables[0]], *SPREAD_BY[tables[0]])
     # Each table becomes a named argument of the statement; nothing is registered in the session.
     named = text
     for t in tables:
