@@ -25,8 +25,11 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NO_LETTERS = "".join(rf"\x{i:02x}" for i in range(128) if chr(i) not in LETTERS)
 INNER_START = f"[^{LETTERS} ][^{NO_LETTERS}]"
 
-# Applied to text without white space.
-EMAIL_SHAPE = r"^[^@]+@[^@]+\.[^@]+$"
+# Texts of these characters only can have no white space but blanks.
+PRINTABLE = "".join(rf"\x{i:02x}" for i in range(0x20, 0x7F))
+NO_AT_OR_BLANK = "".join(rf"\x{i:02x}" for i in range(0x21, 0x7F) if chr(i) != "@")
+PLAIN_EMAIL = rf"^[{NO_AT_OR_BLANK}]+@[{NO_AT_OR_BLANK}]+\.[{NO_AT_OR_BLANK}]+$"
+EMAIL_SHAPE = r"^[^@]+@[^@]+\.[^@]+$"  # of text without white space
 
 
 def strip(c: Column) -> Column:
@@ -34,14 +37,16 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
-def plain_blanks(c: Column) -> Column:
-    """Every white space character as a blank, none at the ends."""
-    return F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
+def squeeze(c: Column) -> Column:
+    """Trimmed, and every run of white space as one blank.
 
-
-def single_blanks(c: Column) -> Column:
-    """Runs of blanks as one blank; most texts have none and skip the regex."""
-    return F.when(c.contains("  "), F.regexp_replace(c, " +", " ")).otherwise(c)
+    Most texts are plain characters with single blanks inside and need no more than a trim.
+    """
+    trimmed = F.trim(c)
+    blanks = F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
+    return F.when(
+        trimmed.contains("  ") | trimmed.rlike(f"[^{PRINTABLE}]"), F.regexp_replace(blanks, " +", " ")
+    ).otherwise(trimmed)
 
 
 def title_case(c: Column) -> Column:
@@ -61,12 +66,12 @@ def empty_to_null(c: Column) -> Column:
 
 def standard_text(c: Column) -> Column:
     """Trimmed, single-spaced, title-cased."""
-    return title_case(single_blanks(plain_blanks(c)))
+    return title_case(squeeze(c))
 
 
 def clean_text(c: Column) -> Column:
     """Trimmed and single-spaced; blank becomes null."""
-    return empty_to_null(single_blanks(plain_blanks(c)))
+    return empty_to_null(squeeze(c))
 
 
 def title_case_text(c: Column) -> Column:
@@ -75,8 +80,13 @@ def title_case_text(c: Column) -> Column:
 
 
 def clean_email(c: Column) -> Column:
-    """Lower case without blanks; anything not shaped like an address becomes null."""
-    return F.regexp_substr(F.lower(F.translate(c, WHITE_SPACE, "")), F.lit(EMAIL_SHAPE))
+    """Lower case without white space; anything not shaped like an address becomes null.
+
+    Plain addresses are accepted as they are, others lose their white space and are looked at again.
+    """
+    plain = F.trim(c)
+    packed = F.translate(c, WHITE_SPACE, "")
+    return F.lower(F.when(plain.rlike(PLAIN_EMAIL), plain).when(packed.rlike(EMAIL_SHAPE), packed))
 
 
 def normalize_key(c: Column) -> Column:
@@ -92,8 +102,7 @@ def clean_text_columns(
     Each step uses its input more than once. As separate projections the input is computed once per
     row; nested in one expression it would be computed again for every use.
     """
-    out = df.withColumns({n: plain_blanks(F.col(src)) for n, src in sources.items()})
-    out = out.withColumns({n: single_blanks(F.col(n)) for n in sources})
+    out = df.withColumns({n: squeeze(F.col(src)) for n, src in sources.items()})
     if blank_to_null:
         out = out.withColumns({n: empty_to_null(F.col(n)) for n in sources})
     if title:

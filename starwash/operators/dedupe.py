@@ -13,7 +13,8 @@ def keep_first(df: DataFrame, key: str, order: str, usable: Column | None = None
 
     With ``usable`` it is the first row that meets the condition, and keys without such a row are
     left out. Usable rows rank first, which needs no filter below the window: such a filter would
-    compute all the cleaning expressions that the condition refers to a second time.
+    compute all the cleaning expressions that the condition refers to a second time. Rows without a
+    key may stay for the same reason, the group limit leaves one of them per task.
     """
     rank = W.partitionBy(key)
     rank = rank.orderBy(order) if usable is None else rank.orderBy("_unusable", order)

@@ -54,7 +54,7 @@ def standardize(raw: DataFrame, order: str = "ord") -> DataFrame:
 
 def clean(raw: DataFrame, order: str = "ord") -> DataFrame:
     """Usable rows, the first per order id. Staged: all dimensions and the fact start from it."""
-    typed = standardize(raw, order).filter(F.col("order_id").isNotNull())
+    typed = standardize(raw, order)
     return stage(keep_first(typed, "order_id", order, usable=is_complete(typed, CORE)))
 
 

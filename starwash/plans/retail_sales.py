@@ -46,8 +46,8 @@ def clean(raw: DataFrame, order: str = "ord", dedupe_first: bool = True) -> Data
     ``dedupe_first`` keeps the first copy of an id even if its core fields are unusable, so the id is
     then lost; otherwise the first usable copy survives.
     """
-    typed = standardize(raw).filter(F.col("Sale_ID").isNotNull())
-    usable = None if dedupe_first else is_complete(typed, CORE)
+    typed = standardize(raw)
+    usable = is_complete(typed, ["Sale_ID"] if dedupe_first else ["Sale_ID", *CORE])
     # Staged: the region lookup, the dimensions and the fact all start from these rows.
     unique = stage(keep_first(typed, "Sale_ID", order, usable))
     located = drop_incomplete(fill_from_same_key(unique, "Store_Code", "Region", order), CORE)
