@@ -196,7 +196,7 @@ _ORDER_JOINS = {
 }
 _LEADS_TO = {"region": {"nation"}, "nation": {"customer"}, "customer": {"orders"}}
 
-SPREAD_BY = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"]}
+SPREAD_BY = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
 VIEWS = {
     "sales": (_sales_columns, "lineitem", _LINE_JOINS),
     "orders_raw": (_orders_columns, "lineitem", _LINE_JOINS),
