@@ -30,6 +30,16 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def rows_with_repeated_key(df: DataFrame, key: str) -> DataFrame:
+    """All copies of rows whose ``key`` occurs more than once (null is one key).
+
+    The keys are counted first and joined back: a window over the key would pass every row of a
+    frequent key through one task.
+    """
+    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+
+
 def near_duplicate_customers(
     df: DataFrame, email: str, name: str, keep: list[str], email_was_missing: str
 ) -> DataFrame:

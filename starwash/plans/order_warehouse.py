@@ -13,7 +13,7 @@ from starwash.operators.checks import (
     require_foreign_keys, require_not_null, require_rows, require_unique,
 )
 from starwash.operators.dedupe import keep_first
-from starwash.operators.fill import is_complete
+from starwash.operators.fill import is_complete, keep_incomplete
 from starwash.operators.star import (
     build_date_dimension, build_dimension, build_filled_dimension, lookup_id, unmatched,
 )
@@ -58,6 +58,11 @@ def clean(raw: DataFrame, order: str = "ord") -> DataFrame:
     return stage(keep_first(typed, "order_id", order, usable=is_complete(typed, CORE)))
 
 
+def rejected(raw: DataFrame, order: str = "ord") -> DataFrame:
+    """Rows that cleaning drops because a core column is missing even after imputation."""
+    return keep_incomplete(standardize(raw, order), CORE)
+
+
 def dim_customer(orders: DataFrame, order: str = "ord") -> DataFrame:
     columns = ["email_key", "customer_name", "email"]
     return build_dimension(orders, columns, "email_key", "customer_id", order).drop("email_key")

@@ -544,6 +544,10 @@ ORACLE: dict[str, str] = {
     ),
     "dedupe_exact": ecom("select distinct * from t"),
     "dup_key_count": sales("select count(*) - count(distinct Sale_ID) as duplicate_keys from t", "Sale_ID"),
+    "repeated_sales": sales(
+        "select Sale_ID, Sale_Date, Quantity from t qualify count(*) over (partition by Sale_ID) > 1",
+        "Sale_ID", "Sale_Date", "Quantity",
+    ),
     "near_dup_customers": ecom(
         "select distinct Customer_ID, Customer_Name, Customer_Email from t where Customer_Email in "
         "(select Customer_Email from t group by Customer_Email having count(distinct Customer_Name) > 1)",
@@ -591,6 +595,10 @@ ORACLE: dict[str, str] = {
         "select order_id, customer_name, email, email_key, product_name, product_key, category, order_date, quantity, "
         "unit_price, amount from clean"
     ),
+    "rejected_orders": warehouse(
+        "select order_id, order_date, email_key, product_key, amount from typed where order_id is null "
+        "or order_date is null or email_key is null or product_key is null or amount is null"
+    ),
     "dim_generic": warehouse(
         "select row_number() over (order by category nulls last) as category_id, category, product_name from "
         f"(select * from clean qualify row_number() over (partition by category order by {ORDER}) = 1)"

@@ -347,6 +347,12 @@ def dup_key_count(spark, sf):
     return dedupe.duplicate_key_count(_sales(spark, sf, "Sale_ID"), "Sale_ID")
 
 
+@query
+def repeated_sales(spark, sf):
+    """All copies of sale ids that occur more than once."""
+    return dedupe.rows_with_repeated_key(_sales(spark, sf, "Sale_ID", "Sale_Date", "Quantity"), "Sale_ID")
+
+
 @query
 def near_dup_customers(spark, sf):
     raw = _ecom(spark, sf, "Customer_ID", "Customer_Name", "Customer_Email", "Province")
@@ -463,6 +469,11 @@ def clean_sales_b(spark, sf):
     return _clean_orders(spark, sf).drop(ORD)
 
 
+@query
+def rejected_orders(spark, sf):
+    return warehouse.rejected(_raw_orders(spark, sf, order=True), ORD).select(*warehouse.CORE)
+
+
 @query
 def dim_generic(spark, sf):
     """The generic builder with a key of its own: the first order of each category."""

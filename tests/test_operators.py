@@ -42,6 +42,12 @@ def test_keep_first_usable(hot):
     assert rows(dedupe.keep_first(df, "k", "o", F.col("v").isNotNull() & F.col("k").isNotNull()), "k", "o") == want
 
 
+def test_rows_with_repeated_key(hot):
+    df, pdf = hot
+    want = sorted(pdf[pdf.duplicated("k", keep=False)].o.tolist())
+    assert sorted(r.o for r in dedupe.rows_with_repeated_key(df, "k").collect()) == want
+
+
 def test_fill_within_group_with_a_hot_key(hot):
     df, pdf = hot
     keyed = pdf[pdf.k.notna()].copy()

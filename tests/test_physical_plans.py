@@ -71,6 +71,32 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_frequent_key_of_a_large_lookup_is_split(spark):
+    """With no broadcast, adaptive execution cuts the partition of a key that holds a third of the rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    facts = stage(spark.range(0, 300000, 1, 16).selectExpr(
+        "id", "if(id % 3 = 0, 'hot', cast(id % 5000 as string)) as k", "uuid() as payload"
+    ))
+    dim = stage(spark.range(5000).selectExpr("if(id = 0, 'hot', cast(id as string)) as name", "id as dim_id"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = star.lookup_id(facts, F.col("k"), dim, F.col("name"), "dim_id")
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.collect()
+        assert "skew=true" in plan(joined) and len(rows) == 300000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_top_k_does_not_sort_everything(spark, small):
     star_tables = warehouse.build_star(dirty(spark, small, "orders_raw", order="ord"))
     assert "TakeOrderedAndProject" in plan(reports.top_customer(star_tables))
