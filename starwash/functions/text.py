@@ -56,8 +56,8 @@ def title_case(c: Column) -> Column:
     starts and is taken out again. Texts without such a start do not need it.
     """
     marked = F.regexp_replace(c, f"([^ {CASED}])(?=[{CASED}])", f"$1{WORD_START}")
-    by_mark = F.replace(F.initcap(marked), F.lit(WORD_START), F.lit(""))
-    return F.when(c.rlike(INNER_START), by_mark).otherwise(F.initcap(c))
+    words = F.initcap(F.when(c.rlike(INNER_START), marked).otherwise(c))
+    return F.replace(words, F.lit(WORD_START), F.lit(""))
 
 
 def empty_to_null(c: Column) -> Column:

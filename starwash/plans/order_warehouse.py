@@ -17,7 +17,7 @@ from starwash.operators.fill import is_complete, keep_incomplete
 from starwash.operators.star import (
     build_date_dimension, build_dimension, build_filled_dimension, lookup_id, unmatched,
 )
-from starwash.sources.staging import stage
+from starwash.sources.staging import stage, stage_all
 from starwash.sources.tables import (
     WAREHOUSE, create_tables, load_dimensions, read_table, write_table,
 )
@@ -80,11 +80,11 @@ def dim_date(orders: DataFrame) -> DataFrame:
 
 def build_dimensions(orders: DataFrame, order: str = "ord") -> dict[str, DataFrame]:
     """All dimensions, staged, so that the fact joins tables of known size."""
-    return {
-        "dim_customer": stage(dim_customer(orders, order)),
-        "dim_product": stage(dim_product(orders, order)),
-        "dim_date": stage(dim_date(orders)),
-    }
+    return stage_all({
+        "dim_customer": lambda: dim_customer(orders, order),
+        "dim_product": lambda: dim_product(orders, order),
+        "dim_date": lambda: dim_date(orders),
+    })
 
 
 def with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:

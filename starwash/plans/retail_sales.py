@@ -10,7 +10,7 @@ from starwash.functions.text import clean_text_columns, empty_to_null, strip
 from starwash.operators.dedupe import keep_first
 from starwash.operators.fill import drop_incomplete, fill_from_same_key, is_complete
 from starwash.operators.star import build_date_dimension, build_dimension, lookup_id
-from starwash.sources.staging import stage
+from starwash.sources.staging import stage, stage_all
 
 TITLE_COLUMNS = ["Branch", "Province", "Region", "Product_Name", "Category"]
 CORE = ["Sale_Date", "Quantity", "Unit_Price"]
@@ -102,15 +102,12 @@ def fact_sales(sales: DataFrame, locations: DataFrame, products: DataFrame, date
 
 def build_star(raw: DataFrame, order: str = "ord") -> dict[str, DataFrame]:
     sales = clean(raw, order)
-    locations, products, dates = (
-        stage(d) for d in (dim_location(sales, order), dim_product(sales, order), dim_date(sales))
-    )
-    return {
-        "Dim_Location": locations,
-        "Dim_Product": products,
-        "Dim_Date": dates,
-        "Fact_Sales": fact_sales(sales, locations, products, dates),
-    }
+    dimensions = stage_all({
+        "Dim_Location": lambda: dim_location(sales, order),
+        "Dim_Product": lambda: dim_product(sales, order),
+        "Dim_Date": lambda: dim_date(sales),
+    })
+    return {**dimensions, "Fact_Sales": fact_sales(sales, *dimensions.values())}
 
 
 def write_star(star: dict[str, DataFrame], path: str) -> None:

@@ -12,9 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The JVM never compiles methods beyond 8000 bytes of bytecode. A long projection that generates
-    # such a method runs faster as separate operators than interpreted.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # By default the JVM never compiles a method beyond 8000 bytes of bytecode, and a stage that cleans
+    # a dozen columns generates such methods.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.ui.enabled": "false",
 }
 

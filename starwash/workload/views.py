@@ -7,6 +7,7 @@ the tables that the asked-for columns need.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -63,7 +64,8 @@ def _money(x: str) -> str:
     )
 
 
-_LINE = "(l_orderkey*10 + l_linenumber)"
+_LINE = "k"
+_LINEITEM = "(select *, l_orderkey*10 + l_linenumber as k from lineitem) as numbered"
 _PRODUCT = f"case when {_LINE} % 2 = 0 then upper(p_name) else concat(' ', p_name) end"
 _CATEGORY = "case when l_partkey % 5 = 0 then null else p_type end"
 _BRANCH = (
@@ -198,9 +200,9 @@ _LEADS_TO = {"region": {"nation"}, "nation": {"customer"}, "customer": {"orders"
 
 SPREAD_BY = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
 VIEWS = {
-    "sales": (_sales_columns, "lineitem", _LINE_JOINS),
-    "orders_raw": (_orders_columns, "lineitem", _LINE_JOINS),
-    "ecom": (_ecom_columns, "orders", _ORDER_JOINS),
+    "sales": (_sales_columns, "lineitem", _LINEITEM, _LINE_JOINS),
+    "orders_raw": (_orders_columns, "lineitem", _LINEITEM, _LINE_JOINS),
+    "ecom": (_ecom_columns, "orders", "orders", _ORDER_JOINS),
 }
 
 
@@ -219,11 +221,11 @@ def columns_of(view: str) -> list[str]:
 
 
 def _select(view: str, columns: Sequence[str], d: Dialect, extra: Sequence[str]) -> tuple[str, list[str]]:
-    build, base, available = VIEWS[view]
+    build, base, source, available = VIEWS[view]
     exprs = build(d)
     tables = _joins(set().union(*[exprs[c][1] for c in columns]), available)
     items = [f"{exprs[c][0]} as {c}" for c in columns] + list(extra)
-    text = f"select {', '.join(items)} from {base} " + " ".join(available[t] for t in tables)
+    text = f"select {', '.join(items)} from {source} " + " ".join(available[t] for t in tables)
     return text, [base, *tables]
 
 
@@ -255,9 +257,7 @@ def dirty(
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
     frames[tables[0]] = spread(frames[tables[0]], *SPREAD_BY[tables[0]])
     # Each table becomes a named argument of the statement; nothing is registered in the session.
-    named = text
-    for t in tables:
-        named = named.replace(f" from {t} ", f" from {{{t}}} ").replace(f"join {t} on", f"join {{{t}}} on")
+    named = re.sub(rf"\b(from|join) ({'|'.join(tables)})\b", r"\1 {\2}", text)
     out = spark.sql(named, **frames)
     if copies:
         out = out.unionAll(spark.sql(f"{named} where o_orderkey % 31 = 0", **frames))
