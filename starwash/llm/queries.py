@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starwash.llm import chat, decontaminate, mixing, quality, secrets, simhash, substring, urls
+from starwash.llm import chat, decontaminate, mixing, quality, secrets, simhash, substring, suffixes, urls
 from starwash.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeated_words(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_secret_scans, op2_simhash_near_dedup, op3_chat_formatting, op4_mixing, op7_substring_dedup,
-        op8_benchmark_decontamination, op9_quality_rules, op10_url_filters,
+        op1_secret_scans, op2_simhash_near_dedup, op3_chat_formatting, op4_mixing, op5_suffix_array_dedup,
+        op7_substring_dedup, op8_benchmark_decontamination, op9_quality_rules, op10_url_filters,
     )
 }
