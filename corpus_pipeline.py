@@ -4,35 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starwash.llm import mixing, quality, simhash
+from starwash.llm import decontaminate, mixing, quality, simhash, tokens
 from starwash.llm.common import table
+from starwash.llm.queries import vocabulary
 from starwash.sources.staging import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the forest reject go; ``labels`` set the forest's threshold."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
     return simhash.keep_one_of_each(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target takes it, none to three times."""
     return mixing.mixed_documents(docs)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files, read back: doc_id, start, n_tokens, ids_crc32 of every row."""
+    return tokens.encode_and_read(docs, vocabulary())
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
     ("mixing sources to target weights", mixing_sources),
+    ("token-ID / binary output", token_output),
 ]
 
-#: The forest of the first stage, the fingerprints of the second and the tokens of the last have no SQL form.
+#: The forest, the fingerprints and the tokens have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet before the next."""
     docs = table(spark, sf_dir, "documents")
-    for _, function in STAGES:
+    for _, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

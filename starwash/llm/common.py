@@ -33,3 +33,17 @@ def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text, null as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
+
+
+def bounded_sample(df: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` distinct rows, chosen by a hash of their content: the same on every run.
+
+    Above twice that many, only hashes in a share of the hash range are ordered, so that each task hands on
+    about its share of ``rows`` and not ``rows`` of its own.
+    """
+    names = df.columns
+    hashed = df.distinct().withColumn("h", F.xxhash64(*names))
+    total = hashed.count()
+    if total > 2 * rows:
+        hashed = hashed.filter(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * (2 * rows / total)))
+    return hashed.orderBy("h", *names).limit(rows).select(*names)

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starwash.llm.common import text_bytes, unwrapped, wrapped
+from starwash.llm.common import bounded_sample, text_bytes, unwrapped, wrapped
 from starwash.sources.staging import stage
 
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -182,11 +182,8 @@ def calibrated(forest: Forest, x: np.ndarray, good: np.ndarray, max_clean_loss:
     return Forest(**{**forest.__dict__, "threshold": best})
 
 
-def _sample(df: DataFrame, rows: int) -> np.ndarray:
-    """At most ``rows`` rows, chosen by a hash of the id: the same on every run, whatever the partitions."""
-    columns = [*STATISTICS, *(c for c in df.columns if c == "good")]
-    picked = df.select(F.xxhash64("doc_id", *STATISTICS).alias("h"), *columns)
-    return picked.orderBy(*picked.columns).limit(rows).select(*columns).toPandas().to_numpy(dtype=float)
+def _sample(df: DataFrame, columns: list[str], rows: int) -> np.ndarray:
+    return bounded_sample(df.select("doc_id", *columns), rows).select(*columns).toPandas().to_numpy(dtype=float)
 
 
 def train(stats: DataFrame, labels: DataFrame) -> Forest:
@@ -197,13 +194,13 @@ def train(stats: DataFrame, labels: DataFrame) -> Forest:
     several labels counts once with the lowest.
     """
     passed = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    forest = grow(features(_sample(passed, SAMPLE_ROWS).reshape(-1, len(STATISTICS))))
+    forest = grow(features(_sample(passed, STATISTICS, SAMPLE_ROWS).reshape(-1, len(STATISTICS))))
     known = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("double").alias("good"))
     )
-    rows = _sample(passed.join(known, "doc_id"), MAX_LABELLED).reshape(-1, len(STATISTICS) + 1)
+    rows = _sample(passed.join(known, "doc_id"), [*STATISTICS, "good"], MAX_LABELLED).reshape(-1, len(STATISTICS) + 1)
     return calibrated(forest, features(rows[:, :-1]), rows[:, -1] > 0)
 
 

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starwash.llm import chat, decontaminate, mixing, quality, secrets, simhash, substring, suffixes, urls
+from starwash.llm import chat, decontaminate, mixing, quality, secrets, simhash, substring, suffixes, tokens, urls
 from starwash.llm.common import table
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -30,6 +36,10 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_and_read(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeated_words(table(spark, sf_dir, "documents"))
 
@@ -50,6 +60,6 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_simhash_near_dedup, op3_chat_formatting, op4_mixing, op5_suffix_array_dedup,
-        op7_substring_dedup, op8_benchmark_decontamination, op9_quality_rules, op10_url_filters,
+        op6_token_output, op7_substring_dedup, op8_benchmark_decontamination, op9_quality_rules, op10_url_filters,
     )
 }

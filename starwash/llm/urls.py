@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starwash.llm.common import bounded_sample
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Verdict, host, path prefix.
@@ -112,19 +114,13 @@ def fit(hosts: Sequence[str], paths: Sequence[str], blocked: Sequence[bool], ste
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_LABELLED) -> UrlModel:
-    """Fit on a labelled table (url, blocked boolean), at most ``max_rows`` rows chosen by the url's hash.
+    """Fit on a labelled table (url, blocked boolean), at most ``max_rows`` distinct rows.
 
     That bound is what reaches the driver. Rows without a label are ignored, a null url counts as empty.
     """
     host, path = host_and_path(F.col("url"))
-    order = F.xxhash64("url")
-    rows = (
-        labelled.filter(F.col("blocked").isNotNull())
-        .select(host.alias("host"), path.alias("path"), "blocked", order.alias("h"))
-        .orderBy("h", "host", "path", "blocked")
-        .limit(max_rows)
-        .collect()
-    )
+    known = labelled.filter(F.col("blocked").isNotNull()).select(host.alias("host"), path.alias("path"), "blocked")
+    rows = bounded_sample(known, max_rows).collect()
     return fit([r.host for r in rows], [r.path for r in rows], [r.blocked for r in rows])
 
 
