@@ -67,12 +67,12 @@ def _lookup_set(windows: DataFrame, length: int) -> tuple[Column, int]:
     return F.from_json(F.lit(json.dumps(entries)), ENTRIES), buckets
 
 
-def _hits(length: int, table: Column, size: int) -> Column:
-    """Array of (position, items) of the verified occurrences of windows of one length.
+def _hits(words: Column, length: int, table: Column, size: int) -> Column:
+    """Array of (positions, items): the verified occurrences of windows of one length.
 
     ``table`` is a constant, so the set reaches the tasks with the plan and nothing is joined.
     """
-    words, probe = F.col("w"), min(PROBE, length)
+    probe = min(PROBE, length)
 
     def bucket(at: Column) -> Column:
         return F.get(table, _hash(words, at, probe).bitwiseAND(F.lit(size - 1)).cast("int"))
@@ -86,13 +86,25 @@ def _hits(length: int, table: Column, size: int) -> Column:
     def verified(at: Column) -> Column:
         text = F.slice(words, at + 1, length)
         same = F.filter(bucket(at), lambda e: e["words"] == text)
-        return F.struct(at.alias("at"), F.flatten(F.transform(same, lambda e: e["items"])).alias("items"))
+        return F.struct(
+            F.sequence(at, at + length - 1).alias("positions"),
+            F.flatten(F.transform(same, lambda e: e["items"])).alias("items"),
+        )
 
     return F.filter(F.transform(candidates, verified), lambda h: F.size(h["items"]) > 0)
 
 
-def _positions(hits: Column, length: int) -> Column:
-    return F.flatten(F.transform(hits, lambda h: F.sequence(h["at"], h["at"] + length - 1)))
+def _looked_up(text: Column, sets: dict[int, tuple[Column, int]]) -> Column:
+    """Struct of the number of words and the hits of a text.
+
+    The words are bound by a lambda, so that no optimiser rule copies their computation into each use.
+    """
+    none = F.array().cast("array<struct<positions: array<int>, items: array<string>>>")
+    found = F.transform(F.array(words_of(text)), lambda words: F.struct(
+        F.size(words).alias("n_words"),
+        F.concat(none, *(_hits(words, n, *entry) for n, entry in sets.items())).alias("hits"),
+    ))
+    return F.get(found, F.lit(0))
 
 
 def _joined_hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
@@ -113,30 +125,25 @@ def _joined_hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> Dat
         F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.size("words") - 1)))).alias("positions"),
         F.array_sort(F.collect_set("item")).alias("items"),
     )
-    none = F.array()
     return docs.join(spans, "id", "left").withColumns({
-        "positions": F.coalesce("positions", none.cast("array<int>")),
-        "items": F.coalesce("items", none.cast("array<string>")),
+        "n_words": F.size("w"),
+        "positions": F.coalesce("positions", F.array().cast("array<int>")),
+        "items": F.coalesce("items", F.array().cast("array<string>")),
     })
 
 
 def _with_hits(docs: DataFrame, benchmark: DataFrame, most: int) -> DataFrame:
-    """Add ``w`` (words), ``positions`` (hit words) and ``items`` (sorted ids) to rows that have ``t``, a text."""
+    """Add ``n_words``, ``positions`` (hit words) and ``items`` (sorted ids) to rows that have ``t``, a text."""
     windows = stage(benchmark_windows(benchmark))
     lengths, count = _by_length(windows), windows.count()
-    docs = docs.withColumn("w", words_of(F.col("t"))).drop("t")
     if count > most:
-        return _joined_hits(stage(docs.withColumn("id", F.monotonically_increasing_id())), windows, lengths)
-    none, hits = F.array(), {}
-    for length in lengths:
-        entries, size = _lookup_set(windows, length)
-        hits[f"hits{length}"] = _hits(length, entries, size)
-    docs = docs.withColumns(hits) if hits else docs
-    positions = [_positions(F.col(f"hits{n}"), n) for n in lengths]
-    items = [F.flatten(F.transform(F.col(f"hits{n}"), lambda h: h["items"])) for n in lengths]
-    return docs.withColumns({
-        "positions": F.array_distinct(F.concat(*positions)) if lengths else none.cast("array<int>"),
-        "items": F.array_sort(F.array_distinct(F.concat(*items))) if lengths else none.cast("array<string>"),
+        numbered = docs.withColumns({"w": words_of(F.col("t")), "id": F.monotonically_increasing_id()})
+        return _joined_hits(stage(numbered.drop("t")), windows, lengths)
+    found = docs.withColumn("found", _looked_up(F.col("t"), {n: _lookup_set(windows, n) for n in lengths}))
+    return found.withColumns({
+        "n_words": F.col("found.n_words"),
+        "positions": F.array_distinct(F.flatten("found.hits.positions")),
+        "items": F.array_sort(F.array_distinct(F.flatten("found.hits.items"))),
     })
 
 
@@ -149,7 +156,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MAX_BROADCA
     found = _with_hits(docs.select("doc_id", F.col("text").alias("t")), benchmark, most)
     return found.select(
         "doc_id",
-        F.size("w").cast("long").alias("n_words"),
+        F.col("n_words").cast("long"),
         F.size("positions").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
