@@ -44,7 +44,9 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: fl
 
 
 def _bucket(seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")), F.lit(BUCKETS))
+    """The first twelve bits of a digest of seed, id and size, a number below BUCKETS."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string"))
+    return F.conv(F.substring(F.md5(key), 1, 3), 16, 10).cast("long")
 
 
 def plan(sized: DataFrame, weights: Sequence[float], max_epochs: float, seed: int) -> DataFrame:
