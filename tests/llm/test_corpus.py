@@ -1,0 +1,280 @@
+"""Chats, mixing, decontamination, tokens and the pipeline against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import same_rows
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from starwash.llm import chat, decontaminate, mixing, quality, simhash, tokens
+from starwash.llm.wavelet import WaveletMatrix, encode
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+# --- chats -------------------------------------------------------------------------------------------------
+
+
+def plain_chats(rows, per_piece=1000):
+    convs = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs.setdefault(conv, []).append((turn is None, turn, role or "unknown", text or ""))
+    said = {c: tuple((r, t) for _, _, r, t in sorted(ts, key=lambda x: x[:2])) for c, ts in convs.items()}
+    out = []
+    for c, s in sorted(said.items()):
+        if any((len(o) > len(s) and o[: len(s)] == s) or (o == s and d < c) for d, o in said.items()):
+            continue
+        lines = [f"<|{r}|>\n{t}<|end|>\n" for r, t in s]
+        out += [(c, i // per_piece, len(lines[i : i + per_piece]), "".join(lines[i : i + per_piece])) for i in range(0, len(lines), per_piece)]
+    return out
+
+
+def snapshots(seed):
+    rng = random.Random(seed)
+    rows, conv = [], 0
+    for _ in range(25):
+        said = [(rng.choice(["user", "assistant"]), rng.choice("abc")) for _ in range(rng.randint(1, 7))]
+        for n in sorted({len(said), *(rng.randint(1, len(said)) for _ in range(3))}):
+            rows += [(conv, k, r, t) for k, (r, t) in enumerate(said[:n])]
+            conv += 1
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_only_maximal_conversations_stay(make, seed):
+    rows = snapshots(seed)
+    same_rows(chat.format_chats(make(rows, TURNS)).collect(), plain_chats(rows))
+
+
+def test_long_and_dirty_conversations(make):
+    rows = [(1, k, "user", f"t{k}") for k in range(2500)] + [(2, k, "user", f"t{k}") for k in range(2400)]
+    rows += [(3, 0, None, None), (3, None, "user", "last"), (None, 0, "user", "x"), (4, 0, "user", ""), (5, 0, "user", None)]
+    same_rows(chat.format_chats(make(rows, TURNS)).collect(), plain_chats(rows))
+    assert chat.format_chats(make([], TURNS)).collect() == []
+
+
+# --- mixing ------------------------------------------------------------------------------------------------
+
+
+def poured(sizes, weights=(5, 2, 1), most=3):
+    """Targets by repeated redistribution, as the definition says."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, target = sum(sizes.values()), set(names), {}
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        full = [s for s in open_ if weight[s] * unit > most * sizes[s]]
+        if not full:
+            return target | {s: weight[s] * unit for s in open_}
+        for s in full:
+            target[s] = most * sizes[s]
+            left -= target[s]
+            open_.remove(s)
+    return target
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_equal_repeated_redistribution(make, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": rng.choice([0, 1, 10, 1000, 50_000]) * rng.randint(1, 9) for i in range(rng.randint(1, 12))} | {None: 7, "": 3}
+    got = mixing.targets(make(list(sizes.items()), "source string, source_size long")).collect()
+    expected = poured(sizes)
+    assert {r.source: r.target for r in got} == pytest.approx(expected)
+
+
+def test_mix_comes_near_its_targets(make):
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 200)), "en", rng.choice(["big"] * 20 + ["mid"] * 5 + ["low"]), 1) for i in range(3000)]
+    docs = make(rows)
+    got = mixing.mix(docs).collect()
+    assert sorted(got) == sorted(mixing.mix(docs.repartition(7)).collect())  # reruns agree
+    size = {r.doc_id: r.size for r in got}
+    assert all(size[r[0]] == len(r[1].split()) for r in rows) and all(r.taken <= 3 * r.size for r in got)
+    source = {r[0]: r[3] for r in rows}
+    for s in ("big", "mid", "low"):
+        own = [r for r in got if source[r.doc_id] == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.02 * own[0].target + 200
+    copies = mixing.mixed_documents(docs).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in copies} == {r.doc_id: r.taken // r.size for r in got if r.taken}
+
+
+def test_mix_of_dirty_rows(make, dirty_docs):
+    got = mixing.mix(make(dirty_docs)).collect()
+    assert len(got) == len(dirty_docs)
+    words = [len((r[1] or "").split()) for r in dirty_docs]
+    same_rows([(r.doc_id, r.size) for r in got], [(r[0], n) for r, n in zip(dirty_docs, words)])
+    assert all(r.taken <= 3 * r.size and r.target <= 3 * r.source_size for r in got)
+    assert mixing.mix(make([])).collect() == [] and mixing.mixed_documents(make([])).collect() == []
+
+
+# --- decontamination ---------------------------------------------------------------------------------------
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_contamination(docs, items):
+    windows = {}
+    for item, text in items:
+        w = plain_words(text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[i : i + 10]), set()).add(item)
+    out = []
+    for doc, text in docs:
+        w, hit, found = plain_words(text), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                own = windows.get(tuple(w[i : i + n]))
+                if own:
+                    hit |= set(range(i, i + n))
+                    found |= own
+        ids = ",".join(sorted(str(i) for i in found if i is not None))
+        n_items = sum(i is not None for i in found)
+        out.append((doc, len(w), len(hit), n_items, hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def exam(dirty_docs):
+    rng = random.Random(3)
+    items = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 9)) for _ in range(rng.randint(1, 30)))) for i in range(40)]
+    items += [(100, None), (101, ""), (102, "É! ü"), (7, items[8][1]), (7, items[8][1]), (103, "Only Four words HERE")]
+    docs = [(r[0], r[1]) for r in dirty_docs]
+    for i in range(60):
+        cut = rng.choice(items[:40])[1].split()
+        a = rng.randint(0, len(cut))
+        docs.append((1000 + i, "Start " + ", ".join(cut[a : a + rng.randint(0, 25)]).upper() + " end É ü. only FOUR words, here"))
+    return docs, items
+
+
+@pytest.mark.parametrize("most", [10_000, 3])  # the broadcast set, and the join for larger benchmarks
+def test_contamination_equals_plain_python(make, dirty_docs, most):
+    docs, items = exam(dirty_docs)
+    table, benchmark = make(docs, "doc_id long, text string"), make(items, "item_id long, text string")
+    expected = plain_contamination(docs, items)
+    same_rows(decontaminate.contamination(table, benchmark, most).collect(), expected)
+    wide = table.selectExpr("*", "1 as w", "2 as id", "3 as found", "4 as items")
+    clean = decontaminate.clean_documents(wide, benchmark, most)
+    assert clean.columns == wide.columns
+    same_rows([(r.doc_id, r.text) for r in clean.collect()], [d for d, e in zip(docs, expected) if not e[-1]])
+
+
+def test_decontamination_without_documents_or_benchmark(make):
+    none = make([], "item_id long, text string")
+    assert decontaminate.contamination(make([]), none).collect() == []
+    assert [r.n_hit for r in decontaminate.contamination(make([(1, "a b", None, None, 0)]), none).collect()] == [0]
+
+
+# --- tokens ------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n, top", [(0, 2), (1, 2), (7, 3), (5000, 40), (20_000, 49_408)])
+def test_wavelet_matrix_answers_like_a_list(n, top):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, top, n)
+    matrix = WaveletMatrix(encode(ids, max(1, (top - 1).bit_length())))
+    assert np.array_equal(matrix.decode(), ids)
+    for i in rng.integers(0, max(1, n), 20 if n else 0):
+        assert matrix.access(int(i)) == ids[i]
+    for value in {0, top - 1, *map(int, ids[:10])}:
+        where = np.flatnonzero(ids == value).tolist()
+        assert matrix.count(value) == len(where) and matrix.positions(value)[:30] == where[:30]
+        middle = n // 2
+        assert matrix.rank(value, middle) == int((ids[:middle] == value).sum())
+
+
+def plain_tokens(docs):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    out, start = [], 0
+    order = sorted(docs, key=lambda d: (d[0] is None, d[0]))
+    for doc, text in order:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+TRICKY = [
+    "Hello, World. it's 3.14 don't STOP!!", "É ü ÜBER straße ΣΊΣΥΦΟΣ İstanbul", "e\u0301 combining", "漢字 かな 한국어 😀👍🏽",
+    "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "a\u00a0b\u2003c\u0085d\x1ce", "\x00\x01 control", "A.,B ,. .", "ﬁ ﬂ ½ Ⅷ",
+    "'s 't 'RE x's' 'll'", "word. word, Word WORD.", "under_score __init__ a_b.c", "\u200bzero\u200bwidth",
+]
+
+
+def test_token_files_equal_the_tokenizer(spark, make, monkeypatch):
+    docs = [(i, t) for i, t in enumerate(TRICKY)] + [(50, None), (51, ""), (None, "no id"), (60, "long " * 30_000)]
+    monkeypatch.setattr(tokens, "SHARD_TOKENS", 40)
+    table = make(docs, "doc_id long, text string").repartition(3)
+    expected = plain_tokens(docs)
+    same_rows(tokens.encode_and_read(table, WORD_BPE).collect(), expected)
+    assert tokens.encode_and_read(make([], "doc_id long, text string"), WORD_BPE).collect() == []
+
+
+def test_token_files_answer_lookups(spark, make, tmp_path):
+    docs = [(i, f"alpha beta gamma{i % 3} alpha") for i in range(30)]
+    path = str(tmp_path / "tokens")
+    tokens.write_tokens(make(docs, "doc_id long, text string"), path, WORD_BPE)
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    ids = [t for _, text in docs for t in [*tokenizer.encode(text, add_special_tokens=False).ids, 2]]
+    wanted = [2, tokenizer.encode("alpha").ids[0], 40_000]
+    found = sorted(map(tuple, tokens.find_tokens(spark, path, wanted).collect()))
+    assert found == sorted((t, i) for i, t in enumerate(ids) if t in wanted)
+    places = [0, 5, len(ids) - 1]
+    assert sorted(map(tuple, tokens.tokens_at(spark, path, places).collect())) == [(p, ids[p]) for p in places]
+
+
+# --- pipeline ----------------------------------------------------------------------------------------------
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    """Each stage on all its predecessor kept, held against the operator's own digest of that input."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels, benchmark = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("labels", "benchmark"))
+    columns, kept = docs.columns, {}
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        out.write.parquet(str(tmp_path / str(i)))
+        after = spark.read.parquet(str(tmp_path / str(i)))
+        ids = sorted(r.doc_id for r in after.select("doc_id").collect())
+        if i == 0:
+            assert ids == sorted(r.doc_id for r in quality.judge(docs, labels).collect() if r.kept)
+        elif i == 1:
+            groups = simhash.near_duplicates(docs).collect()
+            assert ids == sorted({r.component_id for r in groups})
+        elif i == 2:
+            items = [(r.item_id, r.text) for r in benchmark.collect()]
+            judged = plain_contamination([(r.doc_id, r.text) for r in docs.collect()], items)
+            assert ids == sorted(e[0] for e in judged if not e[-1])
+        elif i == 3:
+            assert ids == sorted(r.doc_id for r in mixing.mix(docs).collect() for _ in range(r.taken // max(1, r.size)))
+        else:
+            same_rows(after.collect(), plain_tokens([(r.doc_id, r.text) for r in docs.collect()]))
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert after.columns == columns
+        docs, kept[name] = after, len(ids)
+    assert [tuple(r) for r in sorted(corpus_pipeline.run(spark, sf).collect())] == [tuple(r) for r in sorted(docs.collect())]
+
+
+def test_pipeline_of_dirty_rows(spark, make, dirty_docs, tmp_path):
+    wide = make(dirty_docs).selectExpr("*", "1 as fp", "2 as n", "3 as t", "4 as copies", "5 as component_id")
+    for table, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        make([], schema).write.parquet(str(tmp_path / f"{table}.parquet"))
+    for docs in (wide, wide.limit(0)):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            if i < 4:
+                assert out.columns == wide.columns
+                docs = out
+        assert out.count() == docs.count()
