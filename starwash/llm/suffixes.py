@@ -95,7 +95,8 @@ class Suffixes:
         real = end > first
         first, end, row = first[real], end[real], row[real]
         block = windows.hashes(first, end + self.length - 1) ^ mixed((end - first).astype(np.uint64), salt=5)
-        return first + offset, end - first, names[at[first]], block, row
+        # Chosen names are the smallest of many; mixed again, they spread over the key partitions.
+        return first + offset, end - first, mixed(names[at[first]], salt=1), block, row
 
     def strings(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, name, second name) of all strings of the chosen suffixes."""
