@@ -8,6 +8,7 @@ from starwash.functions.text import strip
 
 DAY = r"(?:3[01]|[12]\d|0?[1-9])"
 MONTH = r"(?:1[0-2]|0?[1-9])"
+YEAR = r"(?!0000)\d{4}"
 
 # Label of each way an ambiguous date was read (fixed values).
 ISO = "ISO_format"
@@ -31,8 +32,8 @@ def _rearranged(s: Column, shape: str, order: str) -> Column:
 
 def _numeric_date(s: Column, year_first: str, day_first: str) -> Column:
     """Both numeric orders at once; the arguments are their separators."""
-    ymd = rf"(\d{{4}}){year_first}({MONTH}){year_first}({DAY})"
-    dmy = rf"({DAY}){day_first}({MONTH}){day_first}(\d{{4}})"
+    ymd = rf"({YEAR}){year_first}({MONTH}){year_first}({DAY})"
+    dmy = rf"({DAY}){day_first}({MONTH}){day_first}({YEAR})"
     return _rearranged(s, f"{ymd}|{dmy}", "$1$6-$2$5-$3$4")
 
 
@@ -45,7 +46,7 @@ def parse_dates(c: Column) -> Column:
     s = strip(c)
     return F.coalesce(
         _numeric_date(s, "-", "/"),
-        _named_month(s, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+        _named_month(s, rf"^\d{{1,2}}-[A-Za-z]{{3}}-{YEAR}$", "d-MMM-yyyy"),
     )
 
 
@@ -54,8 +55,8 @@ def parse_flexible_date(c: Column) -> Column:
     s = strip(c)
     return F.coalesce(
         _numeric_date(s, "[-/]", "[-/]"),
-        _named_month(s, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-        _named_month(s, r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+        _named_month(s, rf"^\d{{1,2}}-[A-Za-z]{{3}}-{YEAR}$", "d-MMM-yyyy"),
+        _named_month(s, rf"^[A-Za-z]{{3}} \d{{1,2}}, {YEAR}$", "MMM d, yyyy"),
     )
 
 
@@ -68,9 +69,9 @@ def resolve_ambiguous_date(
     reading that equals the load date, then day-month. Unreadable text has a null date.
     """
     s = strip(F.col(text))
-    two_numbers = r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
+    two_numbers = rf"(\d{{1,2}})[-/](\d{{1,2}})[-/]({YEAR})"
     readings = df.withColumns({
-        "_iso": _rearranged(s, r"(\d{4})[-/](\d{2})[-/](\d{2})", "$1-$2-$3"),
+        "_iso": _rearranged(s, rf"({YEAR})[-/](\d{{2}})[-/](\d{{2}})", "$1-$2-$3"),
         "_dmy": _rearranged(s, two_numbers, "$3-$2-$1"),
         "_mdy": _rearranged(s, two_numbers, "$3-$1-$2"),
         "_load": load_date,
@@ -110,8 +111,13 @@ def calendar_parts(date: Column) -> dict[str, Column]:
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    """Fractional hours from ``start`` to ``end``; negative when ``end`` is earlier."""
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(3.6e9)
+    """Fractional wall-clock hours from ``start`` to ``end``; negative when ``end`` is earlier.
+
+    Both lose their time zone first, so a clock change of the session's zone does not count.
+    """
+    gap = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    part = {p: F.extract(F.lit(p), gap).cast("double") for p in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    return part["DAY"] * 24 + part["HOUR"] + (part["MINUTE"] * 60 + part["SECOND"]) / 3600
 
 
 def is_late(delay_hours: Column, limit: float = 24.0) -> Column:

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Texts the cast accepts although they are no numbers in a CSV: 1d, 1f, 0x1p3, NaN.
-JAVA_NUMBER = r"[dDxX]|[0-9.][fF]|[nN][aA][nN]"
+# Texts the cast accepts although they are no numbers in a CSV: 1d, 1f, 0x1p3, NaN, Infinity.
+JAVA_NUMBER = r"[dDxX]|[0-9.][fF]|[nN][aA][nN]|[iI][nN][fF]"
+
+# Money: a sign, a symbol or a code of up to three letters before or after, digits that are grouped by comma in
+# threes or not at all, decimals; other text matches the last alternative, which leaves no groups.
+_DIGITS = r"((?:\d{1,3}(?:,\d{3})+|\d+)(?:[.]\d*)?|[.]\d+)"
+MONEY = rf"^(?:([+-]?)[ ]?(?:\p{{Sc}}|[A-Za-z]{{1,3}}[.]?)?[ ]?([+-]?){_DIGITS}[ ]?(?:\p{{Sc}}|[A-Za-z]{{2,3}})?|(?s:.*))$"
+BRACKETS = r"^\(([^()+-]*)\)$"
 
 
 def nan_to_null(c: Column) -> Column:
@@ -19,13 +25,23 @@ def round_half_even(c: Column, digits: int = 2) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    """Text to double, white space around it allowed; text that is not a number becomes null."""
-    return F.when(~c.rlike(JAVA_NUMBER), c.try_cast("double"))
+    """Text to double, white space around it allowed; text that is not a finite number becomes null."""
+    return F.when(~c.rlike(JAVA_NUMBER), finite(c.try_cast("double")))
+
+
+def finite(c: Column) -> Column:
+    """Infinity, which a text of many digits parses to, as null."""
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def parse_currency(c: Column) -> Column:
-    """Money text such as ``$1,234.50`` to double."""
-    return F.regexp_replace(c, r"[^0-9.\-]+", "").try_cast("double")
+    """Money text such as ``$1,234.50``, ``Rs. 500`` or ``(100.50)``, which is negative, to double.
+
+    Anything that is not wholly of this shape is null, never a number made of the digits in it.
+    """
+    signed = F.regexp_replace(F.trim(c), BRACKETS, "-$1")
+    digits = F.regexp_replace(signed, MONEY, "$1$2$3")  # two signs do not cast
+    return finite(F.replace(digits, F.lit(",")).try_cast("double"))
 
 
 def net_amount(quantity: Column, price: Column, discount_percent: Column) -> Column:

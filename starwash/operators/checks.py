@@ -41,6 +41,39 @@ def unique_violations(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+@dataclass(frozen=True)
+class TableRules:
+    """What a table promises: columns without null, keys (null or not) that occur once."""
+
+    not_null: Sequence[str]
+    unique: Sequence[str]
+
+
+def table_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
+    """``(table_name, rule, column, n_broken)`` for every rule, zeros included.
+
+    A table's null checks share one pass; ``unique`` counts the key values that occur more than once.
+    """
+    parts = []
+    for name, own in rules.items():
+        df = tables[name]
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in own.not_null])
+        nulls = counts.unpivot([], list(own.not_null), "column", "n_broken")
+        parts.append(nulls.select(F.lit(name).alias("table_name"), F.lit("not_null").alias("rule"), "column", "n_broken"))
+        for key in own.unique:
+            repeated = duplicate_key_count(df, key).select(F.col("duplicate_keys").alias("n_broken"))
+            parts.append(repeated.select(
+                F.lit(name).alias("table_name"), F.lit("unique").alias("rule"), F.lit(key).alias("column"), "n_broken"
+            ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def require_valid(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> None:
+    broken = table_violations(tables, rules).filter("n_broken > 0").collect()  # one row per rule at most
+    if broken:
+        raise ValidationError("; ".join(f"{r.table_name}.{r.column} {r.rule}: {r.n_broken}" for r in broken))
+
+
 def require_foreign_keys(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> None:
     per_key = foreign_key_orphans(fact, dimensions).groupBy("foreign_key").agg(F.sum("n_rows").alias("n"))
     broken = {r["foreign_key"]: r["n"] for r in per_key.collect()}  # one row per foreign key

@@ -14,7 +14,7 @@ from starwash.functions.dates import (
 )
 from starwash.functions.numeric import round_half_even
 from starwash.functions.rules import (
-    GENDER_RULES, ORDER_STATUSES, PAYMENT_RULES, STATUS_RULES, amount_mismatch, expected_amount,
+    GENDER_RULES, ORDER_STATUSES, PAYMENT_RULES, STATUS_RULES, amount_mismatch, differs_from, expected_amount,
     in_set, invalid_quantity, not_in_set, placeholder_email, standardize,
 )
 from starwash.operators.checks import (
@@ -51,7 +51,7 @@ def standardize_categories(df: DataFrame) -> DataFrame:
 
 def resolve_order_dates(df: DataFrame) -> DataFrame:
     """Order_Date as ISO text, how it was read, and whether the load date or a guess was needed."""
-    loaded = df.withColumn("Load_Timestamp", F.to_timestamp("Load_Timestamp"))
+    loaded = df.withColumn("Load_Timestamp", F.to_timestamp_ntz(F.col("Load_Timestamp")))
     load_date = F.to_date("Load_Timestamp")
     read = resolve_ambiguous_date(loaded, "Order_Date", load_date, "_date", "Order_Date_Parse_Method")
     return read.withColumns({
@@ -61,15 +61,17 @@ def resolve_order_dates(df: DataFrame) -> DataFrame:
 
 
 def check_validity(df: DataFrame) -> DataFrame:
-    """Quantity, amount and order-status flags; the status is standardised, other values stay."""
+    """Quantity, amount and order-status flags; the status is standardised, other values stay.
+
+    The amount is held against the exact product, not against the rounded Expected_Amount. A sale without
+    promotion mark counts as regular, here and in ``expectations``.
+    """
     expected = expected_amount(F.col("Quantity"), F.col("Unit_Price"), F.col("Discount_Rate"))
-    checked = df.withColumns({
+    return df.withColumns({
         "Quantity_Was_Invalid": invalid_quantity(F.col("Quantity")),
         "Expected_Amount": round_half_even(expected),
+        "Accuracy_Flag": amount_mismatch(F.col(AMOUNT), expected, F.col(PROMOTION)),
         "Order_Status_Was_Invalid": not_in_set(F.col("Order_Status"), ORDER_STATUSES),
-    })
-    return checked.withColumns({
-        "Accuracy_Flag": amount_mismatch(F.col(AMOUNT), F.col("Expected_Amount"), F.col(PROMOTION)),
         "Order_Status": standardize(F.col("Order_Status"), STATUS_RULES),
     })
 
@@ -166,14 +168,15 @@ def quality_report(raw: DataFrame, final: DataFrame) -> DataFrame:
 
 def expectations() -> list[Expectation]:
     """Rules that the cleaned table should meet."""
-    regular = in_set(F.col(PROMOTION), ["N"])
+    regular = differs_from(F.col(PROMOTION), "Y")
+    exact = expected_amount(F.col("Quantity"), F.col("Unit_Price"), F.col("Discount_Rate"))
     return [
         *[expect_not_null(c) for c in ("Transaction_ID", "Customer_ID", AMOUNT)],
         expect_between("Quantity", 1, 20),
         expect_in_set("Gender", [*GENDER_RULES, "Unknown"]),
         expect_in_set("Payment_Method", [*PAYMENT_RULES, "Unknown"]),
         expect_in_set("Order_Status", ORDER_STATUSES),
-        expect_within(AMOUNT, F.col("Expected_Amount"), 1.0, applies=regular),
+        expect_within(AMOUNT, exact, 1.0, applies=regular),
     ]
 
 

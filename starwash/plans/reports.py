@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,10 +22,10 @@ def _per_id(star: Star, id_column: str) -> DataFrame:
     )
 
 
-def table_row_counts(star: Star) -> DataFrame:
+def table_row_counts(star: Star, tables: Sequence[str] = TABLES) -> DataFrame:
     counts = [
         star[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-        for t in TABLES
+        for t in tables
     ]
     return reduce(DataFrame.unionByName, counts)
 

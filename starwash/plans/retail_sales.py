@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from starwash.functions.dates import date_text, parse_dates
 from starwash.functions.numeric import net_amount, parse_number
 from starwash.functions.text import clean_text_columns, empty_to_null, strip
+from starwash.operators.checks import TableRules, ValidationError, foreign_key_orphans, require_valid
 from starwash.operators.dedupe import keep_first
 from starwash.operators.fill import drop_incomplete, fill_from_same_key, is_complete
 from starwash.operators.star import build_date_dimension, build_dimension, lookup_id
@@ -16,6 +19,15 @@ TITLE_COLUMNS = ["Branch", "Province", "Region", "Product_Name", "Category"]
 CORE = ["Sale_Date", "Quantity", "Unit_Price"]
 LOCATION = ["Store_Code", "Branch", "Province", "Region"]
 
+# What the tables promise; a fact row without a dimension row keeps a null id.
+RULES = {
+    "Dim_Location": TableRules(["Location_ID"], ["Location_ID", "Store_Code"]),
+    "Dim_Product": TableRules(["Product_ID"], ["Product_ID", "Product_Name"]),
+    "Dim_Date": TableRules(["Date_ID", "Sale_Date"], ["Date_ID", "Sale_Date"]),
+    "Fact_Sales": TableRules(["Sale_ID", "Quantity", "Unit_Price", "Total_Amount"], ["Sale_ID"]),
+}
+FOREIGN_KEYS = {"Location_ID": "Dim_Location", "Product_ID": "Dim_Product", "Date_ID": "Dim_Date"}
+
 
 def standardize_text(raw: DataFrame) -> DataFrame:
     ids = raw.withColumns({
@@ -93,7 +105,7 @@ def fact_sales(sales: DataFrame, locations: DataFrame, products: DataFrame, date
         "Location_ID",
         "Product_ID",
         "Date_ID",
-        F.col("Quantity").cast("bigint").alias("Quantity"),
+        "Quantity",
         "Unit_Price",
         "Discount_Percent",
         "Total_Amount",
@@ -110,7 +122,23 @@ def build_star(raw: DataFrame, order: str = "ord") -> dict[str, DataFrame]:
     return {**dimensions, "Fact_Sales": fact_sales(sales, *dimensions.values())}
 
 
+def unmatched_ids(star: dict[str, DataFrame]) -> DataFrame:
+    """Ids of the fact, null apart, that a dimension does not hold; as ``foreign_key_orphans``."""
+    fact = star["Fact_Sales"]
+    orphans = [
+        foreign_key_orphans(fact.filter(F.col(key).isNotNull()), {key: star[name]}) for key, name in FOREIGN_KEYS.items()
+    ]
+    return reduce(DataFrame.unionByName, orphans)
+
+
 def write_star(star: dict[str, DataFrame], path: str) -> None:
-    """Write every table as Parquet under ``path``, replacing an earlier run."""
-    for name, df in star.items():
+    """Check every table, then write all as Parquet under ``path``, replacing an earlier run.
+
+    A broken constraint raises before anything is replaced.
+    """
+    staged = {name: stage(df) for name, df in star.items()}
+    require_valid(staged, RULES)
+    if not unmatched_ids(staged).isEmpty():
+        raise ValidationError("the fact refers to ids that no dimension has")
+    for name, df in staged.items():
         df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")

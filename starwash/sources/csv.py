@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starwash.functions.text import null_tokens_to_null
+from starwash.sources.staging import stage
+
+REJECT = "_malformed"
+
+
+class MalformedCsv(ValueError):
+    """A file holds rows that its header does not describe."""
+
+
+def unbalanced_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line)`` of every line with an odd number of quotes: a quoted field goes on in the next line.
+
+    Such a file needs ``multiline``; read line by line, its rows would fall apart unnoticed.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    return lines.filter(quotes % 2 == 1)
 
 
 def scan_csv(
@@ -15,29 +32,55 @@ def scan_csv(
     columns: Sequence[str] | None = None,
     order_column: str | None = None,
     multiline: bool = False,
+    types: Mapping[str, str] | None = None,
+    rejects: str | None = None,
+    header: bool = True,
 ) -> DataFrame:
     """Every column as text, null tokens as null. A missing path raises.
 
-    Types are never inferred: that reads the data twice and depends on the rows at hand.
-    ``order_column`` adds the position of each row in its file as a sortable struct. Files are split
-    between tasks unless ``multiline`` says that quoted fields may hold line breaks.
+    A row with more or fewer fields than the header ends the read, or, when ``rejects`` names a column, has
+    its text there (null in good rows); ``split_rejects`` parts them. Quoted line breaks raise
+    ``MalformedCsv`` here unless ``multiline`` says that they are meant.
+
+    Types are never inferred: that reads the data twice and depends on the rows at hand. ``types`` casts
+    columns, and what does not cast becomes null. ``order_column`` adds the position of each row in its file
+    as a sortable struct. Files are split between tasks unless ``multiline``. Files without ``header`` need
+    ``columns``.
     """
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    )
-    if columns:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    raw = reader.csv(path)
-    names = raw.columns
+    if not multiline:
+        broken = unbalanced_lines(spark, path).limit(1).collect()
+        if broken:
+            raise MalformedCsv(f"quoted line break in {broken[0].file}: pass multiline=True")
+    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multiline)
+    names = list(columns) if columns else reader.csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in names]
+    if rejects:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejects)
+        fields.append(T.StructField(rejects, T.StringType()))
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    # Rows are checked against all columns, also when a query reads only some.
+    reader = reader.option("columnPruning", False).option("enforceSchema", not (header and columns) or bool(rejects))
+    raw = reader.schema(T.StructType(fields)).csv(path)
+    kept = list(raw.columns)
     if order_column:
         position = F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
-        raw = raw.select(*names, position.alias(order_column))
-    return null_tokens_to_null(raw, names)
+        raw = raw.select(*kept, position.alias(order_column))
+    text = null_tokens_to_null(raw, names)
+    return text.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()}) if types else text
+
+
+def split_rejects(scanned: DataFrame, rejects: str = REJECT) -> tuple[DataFrame, DataFrame]:
+    """(good rows, malformed rows as text) of a scan with ``rejects``.
+
+    The scan is staged, so the files are parsed once for both.
+    """
+    scanned, bad = stage(scanned), F.col(rejects).isNotNull()
+    return scanned.filter(~bad).drop(rejects), scanned.filter(bad).select(rejects)
 
 
 def write_csv(df: DataFrame, path: str, drop: Sequence[str] = ()) -> None:

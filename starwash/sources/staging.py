@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's checkpoint folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starwash-"))
-    return spark.sparkContext.getCheckpointDir()
+    return root
 
 
 def staged_path(spark: SparkSession) -> str:
@@ -40,15 +37,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 def stage_all(builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
     """Stage several independent tables at the same time, so that none leaves cores idle at its end."""
+    inherit = inheritable_thread_target(SparkSession.active())  # the caller's job group and scheduler pool
     with ThreadPoolExecutor(len(builders)) as pool:
-        return dict(zip(builders, pool.map(lambda build: stage(build()), builders.values())))
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan out to all cores by ``keys`` when its files give work to few of them.
-
-    Text cleaning is bound by the processor, and one file may be a single task. A scan with at least
-    one split per two cores stays as it is, so large inputs are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 < cores else df
+        tasks = [pool.submit(inherit(lambda b=build: stage(b()))) for build in builders.values()]
+        return {name: task.result() for name, task in zip(builders, tasks)}

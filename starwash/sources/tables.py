@@ -42,10 +42,12 @@ def write_table(df: DataFrame, name: str, mode: str = "append", cluster_by: str
     """Write and return the row count, counted during the write.
 
     ``cluster_by`` sorts the rows into ranges of one column, so that readers which filter on it skip
-    files and row groups by their min/max statistics.
+    files and row groups by their min/max statistics. There are as many files as shuffle partitions, since
+    adaptive execution would merge a small table's ranges into one.
     """
     if cluster_by:
-        df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(files, cluster_by).sortWithinPartitions(cluster_by)
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.mode(mode).format("parquet").saveAsTable(name)

@@ -23,15 +23,35 @@ def title(x: str) -> str:
     return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || lower(w[2:])), '')"
 
 
+def finite(x: str) -> str:
+    return f"case when isfinite({x}) then {x} end"
+
+
 def number(x: str) -> str:
-    return f"case when regexp_matches({x}, '{NUMBER}') then cast({x} as double) end"
+    return f"case when regexp_matches({x}, '{NUMBER}') then " + finite(f"try_cast({x} as double)") + " end"
 
 
 def money(x: str) -> str:
-    return f"try_cast(regexp_replace({x}, '[^0-9.-]', '', 'g') as double)"
+    """The amount is taken out of the text; what is left around it must be a sign, a symbol or a code."""
+    inner = f"case when {x} like '(%)' then substr({x}, 2, length({x}) - 2) else trim({x}) end"
+    amount = f"regexp_extract({inner}, '[0-9][0-9,]*([.][0-9]*)?|[.][0-9]+')"
+    around = f"replace({inner}, {amount}, '#')"
+    wanted = "[+-]? ?([$€£¥฿]|[A-Za-z]{1,3}[.]?)? ?[+-]?# ?([$€£¥฿]|[A-Za-z]{2,3})?"
+    whole = f"split_part({amount}, '.', 1)"
+    return (
+        f"case when regexp_full_match({around}, '{wanted}') and not ({x} like '(%)' and regexp_matches({x}, '[+-]')) "
+        f"and (regexp_full_match({whole}, '[0-9]*') or regexp_full_match({whole}, '[0-9]{{1,3}}(,[0-9]{{3}})+')) "
+        f"then (case when {x} like '(%)' or {x} like '%-%' then -1 else 1 end) "
+        f"* try_cast(replace({amount}, ',', '') as double) end"
+    )
+
+
+def _real_year(x: str) -> str:
+    return f"(case when not regexp_matches({x}, '(^|[^0-9])0000([^0-9]|$)') then {x} end)"
 
 
 def date3(x: str) -> str:
+    x = _real_year(x)
     return (
         f"coalesce(try_strptime({x}, '%Y-%m-%d'), try_strptime({x}, '%d-%b-%Y'), "
         f"try_strptime({x}, '%d/%m/%Y'))::date"
@@ -39,6 +59,7 @@ def date3(x: str) -> str:
 
 
 def flexible(x: str) -> str:
+    x = _real_year(x)
     return (
         f"coalesce(try_strptime({x}, '%Y-%m-%d'), try_strptime({x}, '%Y/%m/%d'), "
         f"try_strptime({x}, '%d-%b-%Y'), try_strptime({x}, '%d/%m/%Y'), try_strptime({x}, '%d-%m-%Y'), "
@@ -196,12 +217,13 @@ _STATUS = (
 _VALID_STATUS = "coalesce(Order_Status in ('Completed', 'Processing', 'Cancelled', 'Returned'), false)"
 _EMAIL_FILL = "coalesce(Customer_Email, 'unknown_' || coalesce(Customer_ID, '') || '@unknown.local')"
 _REGULAR = "Is_Promotion is distinct from 'Y'"
+_EXACT = "Quantity * Unit_Price * (1 - Discount_Rate)"
 
 
 def ambiguous(source: str) -> dict[str, str]:
     """CTEs that read ``Order_Date`` of ``source`` with the load date at hand; the last is ``dated``."""
     two = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})$"
-    part = {i: rf"try_cast(regexp_extract(trim(Order_Date), '{two}', {i}) as integer)" for i in (1, 2, 3)}
+    part = {i: rf"nullif(try_cast(regexp_extract(trim(Order_Date), '{two}', {i}) as integer), 0)" for i in (1, 2, 3)}
     return {
         "pieces": (
             f"select *, cast(Load_Timestamp as timestamp)::date as load_date, "
@@ -283,7 +305,7 @@ QUALITY = {
     ),
     "final": (
         f"select * exclude (lower_bound, upper_bound) replace ({_STATUS} as Order_Status, {_CAPPED} as Transaction_Amount), "
-        f"coalesce(abs(Transaction_Amount - Expected_Amount) > 1, false) and {_REGULAR} as Accuracy_Flag, "
+        f"coalesce(abs(Transaction_Amount - {_EXACT}) > 1, false) and {_REGULAR} as Accuracy_Flag, "
         f"{_OUTSIDE} and {_REGULAR} as Outlier_Flag_Before_Capping, "
         "Transaction_Amount as Transaction_Amount_Before_Capping, "
         f"{_DELAY} as Load_Delay_Hours, {_DELAY} > 24 as Is_Late_Load from checked"
@@ -387,8 +409,26 @@ _EXPECT = [
     ("in_set", "Payment_Method", "true",
      "not coalesce(Payment_Method in ('Credit Card', 'PromptPay', 'Cash on Delivery', 'Bank Transfer', 'Unknown'), false)"),
     ("in_set", "Order_Status", "true", f"not {_VALID_STATUS}"),
-    ("within_threshold", "Transaction_Amount", "coalesce(Is_Promotion = 'N', false)",
-     "coalesce(abs(Transaction_Amount - Expected_Amount) > 1, false)"),
+    ("within_threshold", "Transaction_Amount", _REGULAR,
+     f"coalesce(abs(Transaction_Amount - {_EXACT}) > 1, false)"),
+]
+
+# Promised columns and keys: published name, and where this file has them.
+_PROMISED_A = [
+    ("Dim_Location", "Location_ID", "Location_ID", "loc"), ("Dim_Product", "Product_ID", "Product_ID", "prod"),
+    ("Dim_Date", "Date_ID", "Date_ID", "dates"), ("Dim_Date", "Sale_Date", "d", "dates"),
+    *[("Fact_Sales", c, c, "clean") for c in ("Sale_ID", "Quantity", "Unit_Price", "Total_Amount")],
+]
+_KEYS_A = [
+    ("Dim_Location", "Location_ID", "Location_ID", "loc"), ("Dim_Location", "Store_Code", "Store_Code", "loc"),
+    ("Dim_Product", "Product_ID", "Product_ID", "prod"), ("Dim_Product", "Product_Name", "Product_Name", "prod"),
+    ("Dim_Date", "Date_ID", "Date_ID", "dates"), ("Dim_Date", "Sale_Date", "d", "dates"),
+    ("Fact_Sales", "Sale_ID", "Sale_ID", "clean"),
+]
+_PROMISED_B = [
+    ("dim_customer", "cust", ["customer_id", "customer_name", "email"], ["customer_id", "email"]),
+    ("dim_product", "prod", ["product_id", "product_name", "category"], ["product_id", "product_name"]),
+    ("dim_date", "days", ["date_id", "date"], ["date_id", "date"]),
 ]
 
 _QTY_PRICE_DISCOUNT = ("Quantity", "Unit_Price", "Discount_Percent")
@@ -483,9 +523,8 @@ ORACLE: dict[str, str] = {
         "Transaction_ID", "Quantity",
     ),
     "accuracy_flag": ecom(
-        f"select Transaction_ID, Expected_Amount, coalesce(abs(Transaction_Amount - Expected_Amount) > 1, false) "
-        f"and {_REGULAR} as Accuracy_Flag from "
-        f"(select *, {even2('Quantity * Unit_Price * (1 - Discount_Rate)')} as Expected_Amount from t)",
+        f"select Transaction_ID, {even2(_EXACT)} as Expected_Amount, coalesce(abs(Transaction_Amount - {_EXACT}) > 1, false) "
+        f"and {_REGULAR} as Accuracy_Flag from t",
         "Transaction_ID", "Quantity", "Unit_Price", "Discount_Rate", "Transaction_Amount", "Is_Promotion",
     ),
     "drop_incomplete": retail(
@@ -587,7 +626,7 @@ ORACLE: dict[str, str] = {
     ),
     "fact_date_lookup": retail("select Sale_ID, Date_ID from clean left join dates on Sale_Date = d"),
     "fact_sales_a": retail(
-        "select Sale_ID, Location_ID, Product_ID, Date_ID, cast(trunc(Quantity) as bigint) as Quantity, Unit_Price, "
+        "select Sale_ID, Location_ID, Product_ID, Date_ID, Quantity, Unit_Price, "
         "Discount_Percent, Total_Amount from clean c left join loc on c.Store_Code = loc.Store_Code "
         "left join prod on c.Product_Name = prod.Product_Name left join dates on Sale_Date = d"
     ),
@@ -641,6 +680,62 @@ ORACLE: dict[str, str] = {
         "select 'dim_product', count(*) from prod union all select 'dim_date', count(*) from days union all "
         "select 'fact_sales', count(*) from fact"
     ),
+    "table_row_counts_a": retail(
+        "select 'Dim_Location' as table_name, count(*) as row_count from loc union all "
+        "select 'Dim_Product', count(*) from prod union all select 'Dim_Date', count(*) from dates union all "
+        "select 'Fact_Sales', count(*) from clean"
+    ),
+    "violations_a": retail(_union([
+        f"select '{t}' as table_name, 'not_null' as rule, '{c}' as \"column\", count(*) - count({x}) as n_broken from {v}"
+        for t, c, x, v in _PROMISED_A
+    ] + [
+        f"select '{t}', 'unique', '{c}', cast(count(*) - count(distinct {x}) as bigint) from {v}"
+        for t, c, x, v in _KEYS_A
+    ])),
+    "dim_violations_b": warehouse(_union([
+        f"select '{t}' as table_name, 'not_null' as rule, '{c}' as \"column\", count(*) - count({c}) as n_broken from {v}"
+        for t, v, cs, _ in _PROMISED_B for c in cs
+    ] + [
+        f"select '{t}', 'unique', '{c}', cast(count(*) - count(distinct {c}) as bigint) from {v}"
+        for t, v, _, ks in _PROMISED_B for c in ks
+    ])),
+    "cut_quantities": warehouse(
+        "select count(quantity) as n_rows, count(*) filter (quantity <> floor(quantity)) as n_cut from clean"
+    ),
+    "scan_typed": ecom(
+        "select Transaction_ID, Quantity, Transaction_Amount, Unit_Price from t",
+        "Transaction_ID", "Quantity", "Transaction_Amount", "Unit_Price", copies=False,
+    ),
+    "csv_rejects": (
+        "select o_orderkey % 10 as last_digit, count(*) as n_bad from orders where o_orderkey % 7 = 0 group by all"
+    ),
+    "clean_orders_from_csv": quality(
+        "select Transaction_ID, Customer_Email, Order_Date, Order_Date_Parse_Method, Quantity, "
+        "round(Transaction_Amount, 4) as Transaction_Amount, Accuracy_Flag, Is_Late_Load from final"
+    ),
+    "write_replace": "select c_mktsegment as segment, count(*) as n from customer group by all",
+    "write_append_counts": (
+        "select n, (select count(*) from nation) + (select count(*) from region) as total from "
+        "(select count(*) as n from nation union all select count(*) from region)"
+    ),
+    "load_star_roundtrip": warehouse(
+        "select p.category, count(*) as n_rows, sum(quantity)::bigint as total_quantity "
+        "from fact join prod p using (product_id) where unit_price is not null group by p.category"
+    ),
+    "export_roundtrip": quality(
+        "select Transaction_ID, Customer_Email, Province, Gender, Payment_Method, Order_Date, Order_Status from final"
+    ),
+    "preview": (
+        "select l_orderkey, l_linenumber, l_quantity from lineitem order by l_orderkey, l_linenumber, "
+        "l_partkey, l_suppkey limit 5"
+    ),
+    "run_all_reports": warehouse(
+        f"select 'sales_by_month' as report, count(*) as n_rows from (select distinct year, month from fact join days using (date_id)) "
+        "union all select 'sales_by_product', count(*) from (select distinct product_name, category from fact join prod using (product_id)) "
+        "union all select 'table_row_counts', 4 union all select 'total_sales', 1 "
+        "union all select 'top_customer', least(10, (select count(distinct (customer_name, email)) from fact join cust using (customer_id))) "
+        "union all select 'top_product', least(10, (select count(distinct product_name) from fact join prod using (product_id)))"
+    ),
     "total_sales": warehouse(
         f"select {money_sum('amount')} as total_sales, sum(quantity)::bigint as total_quantity, "
         "count(*) as total_orders from fact"

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starwash.functions import dates, numeric, rules, text
 from starwash.operators import checks, dedupe, fill, ordering, outliers, profile, quantiles, star
 from starwash.plans import order_quality as quality, order_warehouse as warehouse, reports, retail_sales as retail
-from starwash.sources.csv import scan_csv, write_csv
+from starwash.sources.csv import REJECT, scan_csv, split_rejects, write_csv
 from starwash.sources.staging import stage, staged_path
+from starwash.sources.tables import write_table
 from starwash.workload.views import columns_of, dirty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +55,50 @@ def scan_all_text(spark, sf):
     return scan_csv(spark, path, columns_of("sales"))
 
 
+@query
+def scan_typed(spark, sf):
+    """Sales written as CSV and scanned with types."""
+    names = ["Transaction_ID", "Quantity", "Transaction_Amount", "Unit_Price"]
+    path = staged_path(spark)
+    write_csv(_ecom(spark, sf, *names, copies=False), path)
+    types = {"Quantity": "bigint", "Transaction_Amount": "double", "Unit_Price": "double"}
+    return scan_csv(spark, path, names, types=types)
+
+
+@query
+def csv_rejects(spark, sf):
+    """Orders written as CSV lines, every seventh key with one field too many; the malformed ones by last digit."""
+    path = staged_path(spark)
+    line = F.concat_ws(",", F.col("o_orderkey"), F.col("o_custkey"), F.when(F.col("o_orderkey") % 7 == 0, "extra"))
+    _table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    scanned = scan_csv(spark, path, ["key", "customer"], rejects=REJECT, header=False)
+    _, bad = split_rejects(scanned)
+    key = F.substring_index(REJECT, ",", 1).cast("bigint")
+    return bad.groupBy((key % 10).alias("last_digit")).agg(F.count(F.lit(1)).alias("n_bad"))
+
+
+@query
+def clean_orders_from_csv(spark, sf):
+    """The whole quality chain, from CSV."""
+    path = staged_path(spark)
+    write_csv(_ecom(spark, sf), path)
+    numbers = {c: "double" for c in ("Transaction_Amount", "Unit_Price", "Discount_Rate")}
+    raw = scan_csv(spark, path, columns_of("ecom"), types={**numbers, "Quantity": "bigint"})
+    cleaned = quality.clean(raw).withColumn(quality.AMOUNT, F.round(quality.AMOUNT, 4))
+    return cleaned.select(
+        "Transaction_ID", "Customer_Email", "Order_Date", "Order_Date_Parse_Method", "Quantity", quality.AMOUNT,
+        "Accuracy_Flag", "Is_Late_Load",
+    )
+
+
+@query
+def preview(spark, sf):
+    lines = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    first = profile.preview(lines.withColumn(ORD, order), ORD)
+    return first.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query
 def null_tokens(spark, sf):
     raw = _sales(spark, sf, "Sale_ID", "Region", "Quantity", "Unit_Price", "Discount_Percent")
@@ -574,6 +621,93 @@ def _report(name: str) -> Query:
 QUERIES.update({name: _report(name) for name in reports.REPORTS})
 
 
+# --- sinks and loaders -------------------------------------------------------------------------
+
+
+def _database(spark: SparkSession) -> str:
+    """A new database with its files under the shared folder."""
+    name = f"starwash_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{staged_path(spark)}'")
+    return name
+
+
+@query
+def write_replace(spark, sf):
+    """Customers replace the nations that a table held before."""
+    name = f"{_database(spark)}.customers"
+    write_table(_table(spark, sf, "nation"), name, mode="overwrite")
+    write_table(_table(spark, sf, "customer"), name, mode="overwrite")
+    return spark.table(name).groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def write_append_counts(spark, sf):
+    """What each append reports, beside what the table holds after both."""
+    name = f"{_database(spark)}.names"
+    written = [
+        write_table(_table(spark, sf, t).select(F.col(c).alias("name")), name)
+        for t, c in (("nation", "n_name"), ("region", "r_name"))
+    ]
+    total = spark.table(name).agg(F.count(F.lit(1)).alias("total"))
+    return total.select(F.explode(F.array(*[F.lit(n).cast("bigint") for n in written])).alias("n"), "total")
+
+
+@query
+def load_star_roundtrip(spark, sf):
+    """The warehouse loaded as tables under all its constraints, then read back by SQL."""
+    name, built = _database(spark), _star(spark, sf)
+    # Orders whose price could not be read break a constraint of the fact; the load refuses them.
+    built["fact_sales"] = built["fact_sales"].dropna(subset=warehouse.FACT)
+    warehouse.load_star(spark, built, name)
+    return spark.sql(
+        f"select p.category, count(*) as n_rows, sum(quantity) as total_quantity from {name}.fact_sales "
+        f"join {name}.dim_product p using (product_id) group by p.category"
+    )
+
+
+@query
+def export_roundtrip(spark, sf):
+    """The cleaned orders and their report exported as CSV, the orders scanned back."""
+    raw = _ecom(spark, sf)
+    cleaned, path = quality.clean(raw), staged_path(spark)
+    quality.export(cleaned, quality.quality_report(raw, cleaned), path)
+    names = [c for c in cleaned.columns if c != quality.BEFORE]
+    return scan_csv(spark, f"{path}/e_commerce_clean", names).select(
+        "Transaction_ID", "Customer_Email", "Province", "Gender", "Payment_Method", "Order_Date", "Order_Status"
+    )
+
+
+@query
+def run_all_reports(spark, sf):
+    """Rows of every report, all run over one star."""
+    counts = [
+        report.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
+        for name, report in reports.run_all({n: stage(t) for n, t in _star(spark, sf).items()}).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def table_row_counts_a(spark, sf):
+    return reports.table_row_counts(retail.build_star(_sales(spark, sf, order=True), ORD), list(retail.RULES))
+
+
+@query
+def violations_a(spark, sf):
+    built = retail.build_star(_sales(spark, sf, order=True), ORD)
+    return checks.table_violations({n: stage(t) for n, t in built.items()}, retail.RULES)
+
+
+@query
+def dim_violations_b(spark, sf):
+    return checks.table_violations(_star(spark, sf), warehouse.DIMENSION_RULES)
+
+
+@query
+def cut_quantities(spark, sf):
+    return warehouse.cut_quantities(_clean_orders(spark, sf))
+
+
 @query
 def clean_orders_c(spark, sf):
     cleaned = quality.clean(_ecom(spark, sf))

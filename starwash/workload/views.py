@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starwash.sources.staging import spread
 
 # Date formats as (Spark, DuckDB).
 FORMATS = {
@@ -87,11 +86,16 @@ def _sales_columns(d: Dialect) -> dict[str, tuple[str, set[str]]]:
         "Product_Name": (_PRODUCT, {"part"}),
         "Category": (_CATEGORY, {"part"}),
         "Sale_Date": (
-            f"case when {k} % 53 = 0 then 'not_a_date' when {k} % 3 = 0 then {d.fmt('ISO', 'l_shipdate')} "
+            f"case when {k} % 53 = 0 then 'not_a_date' when {k} % 113 = 0 then '0000-01-05' "
+            f"when {k} % 3 = 0 then {d.fmt('ISO', 'l_shipdate')} "
             f"when {k} % 3 = 1 then {d.fmt('MON', 'l_shipdate')} else {d.fmt('DMY', 'l_shipdate')} end",
             set(),
         ),
-        "Quantity": (f"case when {k} % 61 = 0 then 'n/a' else {_str('cast(l_quantity as bigint)')} end", set()),
+        "Quantity": (
+            f"case when {k} % 61 = 0 then 'n/a' when {k} % 59 = 0 then '2.5' when {k} % 127 = 0 then 'inf' "
+            f"when {k} % 131 = 0 then '1e400' else {_str('cast(l_quantity as bigint)')} end",
+            set(),
+        ),
         "Unit_Price": (f"case when {k} % 67 = 0 then '' else {_dec('p_retailprice')} end", {"part"}),
         "Discount_Percent": (
             f"case when {k} % 13 = 0 then null "
@@ -121,12 +125,18 @@ def _orders_columns(d: Dialect) -> dict[str, tuple[str, set[str]]]:
         "Product": (_PRODUCT, {"part"}),
         "Category": (_CATEGORY, {"part"}),
         "Order_Date": (
-            f"case when {k} % 53 = 0 then 'not_a_date' when {k} % 2 = 0 then {d.fmt('ISO', 'l_shipdate')} "
+            f"case when {k} % 53 = 0 then 'not_a_date' when {k} % 113 = 0 then '05-01-0000' "
+            f"when {k} % 2 = 0 then {d.fmt('ISO', 'l_shipdate')} "
             f"else {d.fmt('DMY', 'l_shipdate')} end",
             set(),
         ),
-        "Quantity": (_str("cast(l_quantity as bigint)"), set()),
-        "Unit_Price": (_money("p_retailprice"), {"part"}),
+        "Quantity": (f"case when {k} % 61 = 0 then '2.5' else {_str('cast(l_quantity as bigint)')} end", set()),
+        "Unit_Price": (
+            f"case when {k} % 67 = 0 then 'Rs. 500' when {k} % 71 = 0 then '(100.50)' when {k} % 73 = 0 then '1e3' "
+            f"when {k} % 79 = 0 then '2 for 100' when {k} % 83 = 0 then '1.234,50' "
+            f"when {k} % 89 = 0 then '-12.50 EUR' else {_money('p_retailprice')} end",
+            {"part"},
+        ),
         "Amount": (f"case when {k} % 4 = 0 then null else {_money('round(l_extendedprice, 2)')} end", set()),
     }
 
@@ -166,7 +176,7 @@ def _ecom_columns(d: Dialect) -> dict[str, tuple[str, set[str]]]:
         "Unit_Price": (f"floor(o_totalprice / ({quantity} * (1 - {rate})) * 100) / 100.0e0", set()),
         "Discount_Rate": (rate, set()),
         "Order_Date": (
-            f"case when {o} % 101 = 0 then 'not_a_date' when {o} % 103 = 0 then '2026-13-05' "
+            f"case when {o} % 101 = 0 then 'not_a_date' when {o} % 109 = 0 then '05/01/0000' when {o} % 103 = 0 then '2026-13-05' "
             f"when {o} % 107 = 0 then '31/02/2026' when {o} % 4 = 0 then {d.fmt('ISO', 'o_orderdate')} "
             f"when {o} % 4 = 1 then {d.fmt('YSL', 'o_orderdate')} "
             f"when {o} % 4 = 2 then {d.fmt('DMY', 'o_orderdate')} else {d.fmt('MDY', 'o_orderdate')} end",
@@ -186,19 +196,18 @@ def _ecom_columns(d: Dialect) -> dict[str, tuple[str, set[str]]]:
 
 # Table a column needs -> the joins that bring it in, in order.
 _LINE_JOINS = {
-    "orders": "join orders on l_orderkey = o_orderkey",
-    "customer": "join customer on o_custkey = c_custkey",
-    "nation": "join nation on c_nationkey = n_nationkey",
-    "region": "join region on n_regionkey = r_regionkey",
-    "part": "join part on l_partkey = p_partkey",
+    "orders": "left join orders on l_orderkey = o_orderkey",
+    "customer": "left join customer on o_custkey = c_custkey",
+    "nation": "left join nation on c_nationkey = n_nationkey",
+    "region": "left join region on n_regionkey = r_regionkey",
+    "part": "left join part on l_partkey = p_partkey",
 }
 _ORDER_JOINS = {
-    "customer": "join customer on o_custkey = c_custkey",
-    "nation": "join nation on c_nationkey = n_nationkey",
+    "customer": "left join customer on o_custkey = c_custkey",
+    "nation": "left join nation on c_nationkey = n_nationkey",
 }
 _LEADS_TO = {"region": {"nation"}, "nation": {"customer"}, "customer": {"orders"}}
 
-SPREAD_BY = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]}
 VIEWS = {
     "sales": (_sales_columns, "lineitem", _LINEITEM, _LINE_JOINS),
     "orders_raw": (_orders_columns, "lineitem", _LINEITEM, _LINE_JOINS),
@@ -255,7 +264,6 @@ def dirty(
     extra = [f"struct({', '.join(LINEITEM_ORDER)}) as {order}"] if order else []
     text, tables = _select(view, names, SPARK, extra)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
-    frames[tables[0]] = spread(frames[tables[0]], *SPREAD_BY[tables[0]])
     # Each table becomes a named argument of the statement; nothing is registered in the session.
     named = re.sub(rf"\b(from|join) ({'|'.join(tables)})\b", r"\1 {\2}", text)
     out = spark.sql(named, **frames)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -57,7 +58,10 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
     from starwash.session import build_session
 
-    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "8g"})
+    base = tempfile.mkdtemp(prefix="compare-")
+    spark = build_session("compare", "local[8]", 8, **{
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": f"{base}/shared", "spark.sql.warehouse.dir": f"{base}/warehouse",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     sf, chosen = sys.argv[1], sys.argv[2:]
     queries, oracle, con = entry.queries(), entry.oracle_sql(), connect(sf)

@@ -6,8 +6,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from starwash.workload.oracle import ORACLE
+from starwash.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,7 @@ def duck(small):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.errors import AnalysisException
 
-from starwash.sources.csv import scan_csv, write_csv
-from starwash.sources.staging import spread, stage, staging_root
+from starwash.sources.csv import REJECT, MalformedCsv, scan_csv, split_rejects, write_csv
+from starwash.sources.staging import stage, staging_root
 from starwash.sources.tables import run_sql, write_table
 
 
@@ -52,10 +52,29 @@ def test_staging_uses_the_shared_folder_of_the_session(spark):
     assert df.count() == 10 and all(root in f for f in df.inputFiles())
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide, "id").rdd.getNumPartitions() == 64
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_ragged_rows_end_the_read_or_become_rejects(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("a,b\n1,2\n1,2,3\n4\n5,6\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, str(path), ["a", "b"]).select("a").collect()
+    good, bad = split_rejects(scan_csv(spark, str(path), ["a", "b"], rejects=REJECT))
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "2"), ("5", "6")]
+    assert sorted(r[0] for r in bad.collect()) == ["1,2,3", "4"]
+
+
+def test_line_breaks_in_quotes_are_reported(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b\n"x\ny",5\n')
+    with pytest.raises(MalformedCsv):
+        scan_csv(spark, str(path))
+
+
+def test_typed_scan(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("a,b\n1,2.5\nx,NA\n")
+    got = scan_csv(spark, str(path), ["a", "b"], types={"a": "bigint", "b": "double"})
+    assert got.dtypes == [("a", "bigint"), ("b", "double")]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, 2.5), (None, None)]
 
 
 def test_write_table_counts_rows(spark):
