@@ -10,36 +10,40 @@ CHUNK = "_chunk"
 POSITION = "_pos"
 
 
-def sorted_chunks(df: DataFrame, *keys: str | Column) -> DataFrame:
+def sorted_chunks(df: DataFrame, *keys: str | Column, chunks: int | None = None) -> DataFrame:
     """Range-partition and sort by ``keys``; number the chunks and the rows inside each.
 
+    ``chunks`` bounds what one task sorts and scans: rows / chunks. Choose it so that a chunk fits a task's
+    memory; by default it is ``spark.sql.shuffle.partitions``, which is fixed whatever the input holds.
+
     The result is staged: range bounds come from a sample, so the chunk of a row must be stored
     before two consumers may rely on it. Many rows with one key only share a chunk if ``keys`` ends
     there; add an ordering column to let them spread.
     """
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_in_chunk = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return stage(
-        df.repartitionByRange(*keys)
+        df.repartitionByRange(chunks, *keys)
         .sortWithinPartitions(*keys)
         .withColumns({CHUNK: F.spark_partition_id(), POSITION: row_in_chunk})
     )
 
 
-def with_dense_ids(df: DataFrame, key: str, id_column: str) -> DataFrame:
+def with_dense_ids(df: DataFrame, key: str, id_column: str, chunks: int | None = None) -> DataFrame:
     """Ids 1..n in the order of a unique ``key`` (nulls last), as the first column.
 
     Each chunk's rows are numbered where they lie; only the chunk sizes, one row per chunk, meet in
     one task to become offsets, and they are what is broadcast.
     """
-    chunks = sorted_chunks(df, F.col(key).asc_nulls_last())
+    parts = sorted_chunks(df, F.col(key).asc_nulls_last(), chunks=chunks)
     earlier = W.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        chunks.groupBy(CHUNK)
+        parts.groupBy(CHUNK)
         .agg(F.count(F.lit(1)).alias("_size"))
         .select(CHUNK, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     )
     dense = (F.col("_before") + F.col(POSITION) + 1).cast("bigint")
-    return chunks.join(F.broadcast(offsets), CHUNK).select(dense.alias(id_column), *df.columns)
+    return parts.join(F.broadcast(offsets), CHUNK).select(dense.alias(id_column), *df.columns)
 
 
 def with_dense_day_ids(days: DataFrame, key: str, id_column: str) -> DataFrame:
@@ -50,20 +54,22 @@ def with_dense_day_ids(days: DataFrame, key: str, id_column: str) -> DataFrame:
     return days.select(F.row_number().over(W.orderBy(key)).cast("bigint").alias(id_column), *days.columns)
 
 
-def fill_within_group(df: DataFrame, key: str, column: str, order: str) -> DataFrame:
+def fill_within_group(
+    df: DataFrame, key: str, column: str, order: str, chunks: int | None = None
+) -> DataFrame:
     """Fill nulls of ``column`` forward, then backward, inside each ``key`` in the order of ``order``.
 
     Groups are cut into sorted chunks, so a key holding much of the data is filled by many tasks;
     what a chunk needs from the others is one summary row per key and chunk. Backward filling only
     reaches rows before the first value of a group, so that value is all it needs.
     """
-    chunks = sorted_chunks(df, key, order)
+    parts = sorted_chunks(df, key, order, chunks=chunks)
     value = F.col(column)
     in_chunk = W.partitionBy(CHUNK, key).orderBy(POSITION)
     so_far = F.last(value, ignorenulls=True).over(in_chunk.rowsBetween(W.unboundedPreceding, 0))
-    filled = chunks.withColumn("_here", so_far)
+    filled = parts.withColumn("_here", so_far)
 
-    summary = chunks.groupBy(CHUNK, key).agg(
+    summary = parts.groupBy(CHUNK, key).agg(
         F.max_by(value, F.when(value.isNotNull(), F.col(POSITION))).alias("_last"),
         F.min_by(value, F.when(value.isNotNull(), F.col(POSITION))).alias("_first"),
     )

@@ -54,8 +54,16 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Number of distinct non-null values per column."""
-    return distinct_values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    """Number of distinct non-null values per column, 0 for a column without any."""
+    found = distinct_values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    return _listed(df, columns).join(found, "column", "left").select(
+        "column", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_distinct")
+    )
+
+
+def _listed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column, whether or not it has values."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -94,9 +102,24 @@ def describe_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def describe_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, extremes and exact quartiles per date or timestamp column, as timestamps without zone."""
+    seconds = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).cast("double").alias(c) for c in columns])
+    stats = describe_numbers(seconds, columns)
+    found = stats.select("column", "count", *[
+        F.timestamp_micros(F.col(m).cast("bigint")).cast("timestamp_ntz").alias(m)
+        for m in ("min", "q1", "median", "q3", "max")
+    ])
+    return _listed(df, columns).join(found, "column", "left").fillna(0, ["count"])
+
+
 def describe_all(df: DataFrame) -> DataFrame:
-    """Both descriptions, one row per column that has a value; measures of the other kind are null."""
-    numeric = [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double")]
+    """Both descriptions, one row per column; measures of the other kind are null, and all but the counts
+    for a column without a value. Decimals are numbers; ``describe_dates`` has the measures of dates."""
+    numeric = [
+        c for c, t in df.dtypes
+        if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")
+    ]
     texts = [c for c in df.columns if c not in numeric]
     parts = []
     if numeric:
@@ -105,7 +128,11 @@ def describe_all(df: DataFrame) -> DataFrame:
         parts.append(describe_texts(df, texts))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     measures = ["count", "unique", "top", "freq", "mean", "std", "min", "q1", "median", "q3", "max"]
-    return out.select("column", *[m for m in measures if m in out.columns])
+    complete = _listed(df, df.columns).join(out, "column", "left").fillna(0, ["count"])
+    if "unique" in out.columns:
+        counted = F.when(F.col("column").isin(texts), F.coalesce("unique", F.lit(0))).otherwise(F.col("unique"))
+        complete = complete.withColumn("unique", counted)
+    return complete.select("column", *[m for m in measures if m in out.columns])
 
 
 def preview(df: DataFrame, order: str, n: int = 5) -> DataFrame:
@@ -122,6 +149,9 @@ def extract_report(df: DataFrame, order: str | None = None) -> dict[str, DataFra
         "duplicates": duplicate_row_count(data),
         "describe": describe_all(data),
     }
+    dated = [c for c, t in data.dtypes if t in ("date", "timestamp", "timestamp_ntz")]
+    if dated:
+        report["dates"] = describe_dates(data, dated)
     if order:
         report["preview"] = preview(df, order).drop(order)
     return report

@@ -21,18 +21,20 @@ def long_values(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFram
     return long.filter(known)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], chunks: int | None = None
+) -> DataFrame:
     """``(column, probability, value)`` with linear interpolation between ranks; nulls are ignored.
 
     Equal values collapse to a count first. The distinct values are sorted in chunks, the chunk
     totals locate the chunk of every wanted rank, and only those chunks are read again. Columns
-    without any value have no row.
+    without any value have no row. ``chunks`` bounds a task's share, as in ``sorted_chunks``.
     """
     counted = long_values(df, columns, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    chunks = sorted_chunks(counted, "column", "value")
+    parts = sorted_chunks(counted, "column", "value", chunks=chunks)
 
     in_order = W.partitionBy("column").orderBy(CHUNK)
-    ranges = chunks.groupBy("column", CHUNK).agg(F.sum("n").alias("_size")).select(
+    ranges = parts.groupBy("column", CHUNK).agg(F.sum("n").alias("_size")).select(
         "column",
         CHUNK,
         F.coalesce(F.sum("_size").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
@@ -50,7 +52,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     upto = F.sum("n").over(W.partitionBy("column", CHUNK).orderBy("value"))
     # At most two rows per column and probability, whatever the data: bounded, so broadcast.
     places = F.broadcast(wanted.select("column", CHUNK).distinct())
-    ranked = chunks.join(places, ["column", CHUNK], "left_semi").withColumn("_upto", upto)
+    ranked = parts.join(places, ["column", CHUNK], "left_semi").withColumn("_upto", upto)
     found = ranked.join(F.broadcast(wanted), ["column", CHUNK]).filter(
         (F.col("_rank") < F.col("_before") + F.col("_upto"))
         & (F.col("_rank") >= F.col("_before") + F.col("_upto") - F.col("n"))

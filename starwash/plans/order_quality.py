@@ -20,7 +20,7 @@ from starwash.functions.rules import (
 from starwash.operators.checks import (
     Expectation, expect_between, expect_in_set, expect_not_null, expect_within,
 )
-from starwash.operators.dedupe import drop_exact_duplicates, duplicate_row_count
+from starwash.operators.dedupe import drop_exact_duplicates
 from starwash.operators.fill import fill_constant, flag_missing
 from starwash.operators.outliers import (
     FLAG as OUTLIER_FLAG, bounds_of_regular_sales, cap_outliers, changed, flag_outliers,
@@ -31,6 +31,7 @@ from starwash.sources.staging import stage
 AMOUNT = "Transaction_Amount"
 BEFORE = "Transaction_Amount_Before_Capping"
 PROMOTION = "Is_Promotion"
+N_EQUAL = "_n_equal"
 
 
 def complete(df: DataFrame) -> DataFrame:
@@ -107,7 +108,8 @@ def quality_report(raw: DataFrame, final: DataFrame) -> DataFrame:
     """Ten metrics before and after cleaning.
 
     Row counts, missing values and copies before cleaning come from ``raw``; the metrics of the later
-    steps are counted on deduplicated rows.
+    steps are counted on deduplicated rows. Either table is read once: equal rows collapse to one with
+    their number, and all metrics are sums over those.
     """
     # The metric names and notes of the published report, in its order.
     names = [
@@ -123,40 +125,43 @@ def quality_report(raw: DataFrame, final: DataFrame) -> DataFrame:
         "Invalid Order_Status (raw values outside standard set)",
     ]
     rows, email, province, copies, dates, quantities, amounts, outliers, late, statuses = range(10)
-    nothing = F.lit(None).cast("bigint")
-    n_rows = F.count(F.lit(1))
+    nothing, n = F.lit(None).cast("bigint"), F.col(N_EQUAL)
+
+    def n_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
 
     def n_null(name: str) -> Column:
-        return F.count_if(F.col(name).isNull())
+        return n_where(F.col(name).isNull())
 
     def measured(df: DataFrame, values: dict[int, tuple[Column, Column]]) -> DataFrame:
-        """Metric rows ``(position, before, after)`` from one aggregate over ``df``."""
-        pairs = df.agg(*[F.struct(b.alias("before"), a.cast("string").alias("after")).alias(f"_{i}")
-                         for i, (b, a) in values.items()])
+        """Metric rows ``(position, before, after)`` from one aggregate over the distinct rows of ``df``."""
+        distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(N_EQUAL))
+        pairs = distinct.agg(*[F.struct(b.alias("before"), a.cast("string").alias("after")).alias(f"_{i}")
+                               for i, (b, a) in values.items()])
         cells = [F.struct(F.lit(i).alias("position"), F.col(f"_{i}.before"), F.col(f"_{i}.after")) for i in values]
         return pairs.select(F.inline(F.array(*cells)))
 
     outside = not_in_set(F.col("Order_Status"), ORDER_STATUSES)
     capped = changed(F.col(AMOUNT), F.col(BEFORE))
-    n_copies = F.max("duplicate_rows")
+    n_rows, n_copies = n_where(F.lit(True)), F.coalesce(F.sum(n - 1), F.lit(0))
     parts = [
         measured(raw, {
             rows: (n_rows, nothing),
             email: (n_null("Customer_Email"), nothing),
             province: (n_null("Province"), nothing),
+            copies: (n_copies, nothing),
         }),
-        measured(duplicate_row_count(raw), {copies: (n_copies, nothing)}),
-        measured(duplicate_row_count(final), {copies: (nothing, n_copies)}),
         measured(final, {
             rows: (nothing, n_rows),
             email: (nothing, n_null("Customer_Email")),
             province: (nothing, n_null("Province")),
-            dates: (F.count_if("Order_Date_Was_Imputed"), F.lit("N/A (flag preserved for audit)")),
-            quantities: (F.count_if("Quantity_Was_Invalid"), F.lit("N/A (flag preserved, not deleted)")),
-            amounts: (F.count_if("Accuracy_Flag"), F.lit("N/A (flag preserved, promo rows untouched)")),
-            outliers: (F.count_if(OUTLIER_FLAG), F.count_if(capped)),
-            late: (F.count_if("Is_Late_Load"), F.lit("N/A (informational, rows kept)")),
-            statuses: (F.count_if("Order_Status_Was_Invalid"), F.count_if(outside)),
+            copies: (nothing, n_copies),
+            dates: (n_where(F.col("Order_Date_Was_Imputed")), F.lit("N/A (flag preserved for audit)")),
+            quantities: (n_where(F.col("Quantity_Was_Invalid")), F.lit("N/A (flag preserved, not deleted)")),
+            amounts: (n_where(F.col("Accuracy_Flag")), F.lit("N/A (flag preserved, promo rows untouched)")),
+            outliers: (n_where(F.col(OUTLIER_FLAG)), n_where(capped)),
+            late: (n_where(F.col("Is_Late_Load")), F.lit("N/A (informational, rows kept)")),
+            statuses: (n_where(F.col("Order_Status_Was_Invalid")), n_where(outside)),
         }),
     ]
     merged = reduce(DataFrame.unionByName, parts).groupBy("position").agg(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,32 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_scopes: list[str] = []
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark).rstrip('/')}/starwash-{spark.sparkContext.applicationId}"
+
+
 def staged_path(spark: SparkSession) -> str:
-    return f"{staging_root(spark).rstrip('/')}/starwash-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return "/".join([_folder(spark), *_scopes, uuid.uuid4().hex])
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what was staged inside it, by any thread.
+
+    Results that still read staged tables must be written or collected before the block ends. Scopes nest.
+    """
+    name = f"scope-{uuid.uuid4().hex}"
+    _scopes.append(name)
+    folder = "/".join([_folder(spark), *_scopes])
+    try:
+        yield
+    finally:
+        _scopes.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:

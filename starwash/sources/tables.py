@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-# Column types of the published warehouse, dimensions before the fact.
+# Column types of the published warehouse, dimensions before the fact.
 WAREHOUSE = {
     "dim_customer": "customer_id BIGINT, customer_name STRING, email STRING",
     "dim_product": "product_id BIGINT, product_name STRING, category STRING",

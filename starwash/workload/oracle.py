@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from starwash.workload.views import LINEITEM_ORDER, columns_of, view_sql
 
+# What a CSV reader takes for missing.
 NULL_TOKENS = (
     "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
     "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
@@ -198,6 +199,7 @@ def warehouse(body: str) -> str:
 
 # --- e-commerce quality ------------------------------------------------------------------------
 
+# The synonyms, standard values and labels of the published rules.
 _GENDER = (
     "case lower(trim(Gender)) when 'm' then 'M' when 'male' then 'M' when 'f' then 'F' when 'female' then 'F' "
     "else 'Unknown' end"
@@ -400,6 +402,7 @@ _REPORT = [
      f"(select count(*) from final where not {_VALID_STATUS})"),
 ]
 
+# Rule names and valid sets.
 _EXPECT = [
     ("not_null", "Transaction_ID", "true", "Transaction_ID is null"),
     ("not_null", "Customer_ID", "true", "Customer_ID is null"),

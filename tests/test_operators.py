@@ -205,3 +205,31 @@ def test_profile(spark):
     assert number["std"] == pytest.approx(np.std([1, 2, 3, 3], ddof=1))
     report = profile.extract_report(df, "i")
     assert report["duplicates"].first().duplicate_rows == 1 and report["preview"].count() == 4
+
+
+def test_profiles_keep_columns_without_values(spark):
+    df = spark.createDataFrame(
+        [(1, None, "x", "2024-01-01", "1.50"), (2, None, "x", "2024-01-03", "2.50")],
+        "n int, nothing double, t string, d string, m string",
+    ).selectExpr("n", "nothing", "t", "cast(null as string) as blank", "cast(d as date) as d", "cast(m as decimal(9,2)) as m")
+    counts = {r["column"]: r.n_distinct for r in profile.distinct_counts(df, df.columns).collect()}
+    assert counts == {"n": 2, "nothing": 0, "t": 1, "blank": 0, "d": 2, "m": 2}
+    described = {r["column"]: r for r in profile.describe_all(df).collect()}
+    assert set(described) == set(df.columns)
+    assert (described["nothing"]["count"], described["nothing"].mean, described["nothing"].unique) == (0, None, None)
+    assert (described["blank"]["count"], described["blank"].unique, described["blank"].top) == (0, 0, None)
+    assert (described["m"].mean, described["m"].top, described["t"].unique) == (2.0, None, 1)
+    (dates,) = profile.describe_dates(df, ["d"]).collect()
+    assert [str(dates[c])[:10] for c in ("min", "median", "max")] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert "dates" in profile.extract_report(df)
+
+
+@pytest.mark.parametrize("chunks", [1, 3, 40])
+def test_chunk_count_does_not_change_results(hot, chunks):
+    hot = hot[0]
+    usual = rows(ordering.fill_within_group(hot, "k", "v", "o"))
+    assert rows(ordering.fill_within_group(hot, "k", "v", "o", chunks=chunks)) == usual
+    ids = ordering.with_dense_ids(hot.select("o"), "o", "id", chunks=chunks)
+    assert rows(ids, "o", "id") == rows(ordering.with_dense_ids(hot.select("o"), "o", "id"), "o", "id")
+    known = rows(quantiles.exact_quantiles(hot, ["o"], (0.1, 0.5)))
+    assert rows(quantiles.exact_quantiles(hot, ["o"], (0.1, 0.5), chunks=chunks)) == known

@@ -6,6 +6,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from starwash.operators import dedupe, fill, star
 from starwash.plans import order_warehouse as warehouse, reports
@@ -20,8 +21,25 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark, small):
-    """The plan of every query over raw tables (the ones that stage first are seen from there on)."""
-    return {name: plan(q(spark, small)) for name, q in QUERIES.items()}
+    """The plan of every query, and of every table it stages on the way."""
+    found, write = {}, DataFrameWriter.parquet
+
+    with pytest.MonkeyPatch.context() as patch:
+        for name, query in QUERIES.items():
+            staged = []
+
+            def parquet(self, *args, _staged=staged, **kwargs):
+                _staged.append(plan(self._df))
+                return write(self, *args, **kwargs)
+
+            patch.setattr(DataFrameWriter, "parquet", parquet)
+            found[name] = plan(query(spark, small))
+            found |= {f"{name}, staged {i}": text for i, text in enumerate(staged)}
+    return found
+
+
+def test_staged_tables_are_seen(plans):
+    assert sum("staged" in name for name in plans) > 50
 
 
 def test_no_python_and_no_cross_join(plans):

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from starwash.sources.csv import REJECT, MalformedCsv, scan_csv, split_rejects, write_csv
-from starwash.sources.staging import stage, staging_root
+from starwash.sources.staging import stage, stage_all, staging_root, staging_scope
 from starwash.sources.tables import run_sql, write_table
 
 
@@ -77,6 +79,18 @@ def test_typed_scan(spark, tmp_path):
     assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, 2.5), (None, None)]
 
 
+def test_staging_scopes_delete_what_they_staged(spark):
+    kept = stage(spark.range(3))
+    with staging_scope(spark):
+        inner = stage_all({"a": lambda: spark.range(5), "b": lambda: spark.range(6)})
+        with staging_scope(spark):
+            stage(spark.range(7))
+        files = [f.removeprefix("file:") for df in inner.values() for f in df.inputFiles()]
+        assert inner["b"].count() == 6 and all(os.path.exists(f.replace("//", "")) or os.path.exists(f) for f in files)
+    assert not any(os.path.exists(f) or os.path.exists(f.replace("//", "")) for f in files)
+    assert kept.count() == 3
+
+
 def test_write_table_counts_rows(spark):
     spark.sql("DROP TABLE IF EXISTS counted")
     assert write_table(spark.range(5), "counted") == 5
