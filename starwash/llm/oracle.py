@@ -77,10 +77,11 @@ with words as (
   select doc_id, i, row_number() over (partition by k order by doc_id, i) as nth from windows
 ), gone as (
   select distinct doc_id, i + j as p from ranked, unnest(range(0, {REPEATED_WORDS})) as v(j) where nth > 1
-), kept as (
-  select doc_id, p from words, unnest(range(1, len(w) + 1)) as u(p) anti join gone using (doc_id, p)
+), places as (
+  select words.doc_id, u.p, w[u.p] as word from words, unnest(range(1, len(w) + 1)) as u(p)
 ), texts as (
-  select k.doc_id, sha256(string_agg(w[p], ' ' order by p)) as digest from kept k join words using (doc_id) group by k.doc_id
+  select a.doc_id, sha256(string_agg(a.word, ' ' order by a.p)) as digest
+  from places a left join gone g on a.doc_id = g.doc_id and a.p = g.p where g.p is null group by a.doc_id
 ), spans as (
   select g.doc_id, count(*) as removed, count(*) filter (b.p is null) as runs
   from gone g left join gone b on g.doc_id = b.doc_id and g.p = b.p + 1 group by g.doc_id
