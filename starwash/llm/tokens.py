@@ -22,7 +22,8 @@ from starwash.sources.staging import stage, staged_path
 END = 2
 SHARD_TOKENS = 1 << 20
 KEPT_WORDS = 400_000  # words of which a worker remembers the ids
-RUN_BYTES = 1 << 20  # text that is encoded at a time
+RUN_BYTES = 1 << 18  # text that is encoded at a time
+RUN_WORDS = 2048  # new words that are handed to the tokenizer at a time; its answers are large objects
 
 #: A shard: ``chunk`` and ``place`` order the shards, ``before`` ids come earlier in the chunk, ``ids`` and
 #: ``sizes`` are the documents (a null id has the bit ``no_id``), ``file`` the wavelet matrix of all tokens.
@@ -36,57 +37,94 @@ SHARD_DDL = "chunk long, place long, before long, n_tokens long, ids binary, no_
 class WordEncoder:
     """Ids of texts, word by word: blanks end every token, so a text's ids are its words' ids in a row.
 
-    Words come again and again, so the ids of KEPT_WORDS words are remembered, then forgotten together. New
-    words of ASCII letters, with a full stop or comma after them, are looked up lower-cased and without it
-    first: the tokenizer lower-cases, too, and never joins letters with what follows.
+    Words come again and again, so KEPT_WORDS words are remembered, then forgotten together. A word is one or
+    two pieces: letters, and the full stop or comma after them, which the tokenizer never joins; other words
+    are one piece. Pieces of letters are handed to the tokenizer many at a time as one text: each ends with
+    the only token in it that the vocabulary marks as an end of word.
     """
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.bits = (max(END, self.tokenizer.get_vocab_size(with_added_tokens=True) - 1)).bit_length()
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bits = max(END, *known.values()).bit_length()
+        self.ends = np.zeros(1 << self.bits, dtype=bool)
+        self.ends[[i for token, i in known.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[bytes, int] = {}  # of a word in ``starts`` and ``sizes``
-        self.parts: dict[bytes, list[int]] = {}
+        self.words: dict[bytes, int] = {}  # of a word in ``first`` and ``second``, its pieces
+        self.pieces: dict[bytes, int] = {b"": 0}  # of a piece in ``starts`` and ``sizes``, its ids in ``flat``
+        self.first = self.second = np.empty(0, dtype=np.int64)
+        self.starts = self.sizes = np.zeros(1, dtype=np.int64)
         self.flat = np.empty(0, dtype=np.uint32)
-        self.starts = np.empty(0, dtype=np.int64)
-        self.sizes = np.empty(0, dtype=np.int64)
+
+    def _ids_of_letters(self, run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, number of ids of each)."""
+        ids = self.tokenizer.encode_batch_fast([b" ".join(run).decode()], add_special_tokens=False)[0].ids
+        ids = np.array(ids, dtype=np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) == len(run) and (not len(run) or last[-1] == len(ids) - 1):
+            return ids, np.diff(last, prepend=-1)
+        return self._ids_one_by_one(run)  # a letter that the tokenizer takes apart
+
+    def _ids_one_by_one(self, run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [p.decode("utf-8", "replace") for p in run]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=sizes.sum()), sizes
 
     def _learn(self, words: list[bytes]) -> None:
-        split = []
+        letters, others, split = [], [], []
         for w in words:
             end = w[-1:] if w[-1] in b".," else b""
             core = w[:-1] if end else w
-            split.append((core.lower(), end) if core.isalpha() else (w, b""))
-        ask = [p for p in dict.fromkeys(p for pair in split for p in pair if p) if p not in self.parts]
-        found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in ask], add_special_tokens=False)
-        self.parts.update((p, e.ids) for p, e in zip(ask, found))
-        ids = [self.parts[core] + self.parts[end] if end else self.parts[core] for core, end in split]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        self.places.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=sizes.sum()))
+            plain = core.isalpha()  # ASCII letters: lower case needs no tokenizer
+            if plain:
+                core = core.lower()
+            elif not core.decode("utf-8", "replace").isalpha():
+                core, end = w, b""
+            else:
+                plain = True
+            split.append((core, end))
+            if core not in self.pieces:
+                self.pieces[core] = -1
+                (letters if plain else others).append(core)
+            if end and end not in self.pieces:
+                self.pieces[end] = -1
+                others.append(end)
+        flat, sizes = [self.flat], [self.sizes]
+        for kind, ask in ((self._ids_of_letters, letters), (self._ids_one_by_one, others)):
+            for at in range(0, len(ask), RUN_WORDS):
+                ids, counts = kind(ask[at : at + RUN_WORDS])
+                flat.append(ids)
+                sizes.append(counts)
+        n = len(self.sizes)
+        self.pieces.update(zip(letters + others, range(n, n + len(letters) + len(others))))
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words.update(zip(words, range(len(self.first), len(self.first) + len(words))))
+        self.first = np.append(self.first, [self.pieces[c] for c, _ in split])
+        self.second = np.append(self.second, [self.pieces[e] for _, e in split])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text, END appended."""
-        if len(self.places) > KEPT_WORDS:
+        if len(self.words) > KEPT_WORDS:
             self.forget()
         split = [t.split() for t in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.places]
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.words]
         if new:
             self._learn(new)
         out = []
         for words in split:
-            at = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
-            sizes = self.sizes[at]
+            at = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+            pieces = np.column_stack([self.first[at], self.second[at]]).ravel()
+            sizes = self.sizes[pieces]
             until = np.cumsum(sizes)
-            total = int(until[-1]) if len(words) else 0
+            total = int(until[-1]) if len(pieces) else 0
             ids = np.empty(total + 1, dtype=np.uint32)
-            ids[:-1] = self.flat[np.repeat(self.starts[at] - until + sizes, sizes) + np.arange(total)]
+            ids[:-1] = self.flat[np.repeat(self.starts[pieces] - until + sizes, sizes) + np.arange(total)]
             ids[-1] = END
             out.append(ids)
         return out
