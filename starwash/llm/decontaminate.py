@@ -70,6 +70,7 @@ def _lookup_set(windows: DataFrame, length: int) -> tuple[Column, int]:
 def _hits(words: Column, length: int, table: Column, size: int) -> Column:
     """Array of (positions, items): the verified occurrences of windows of one length.
 
+    ``items`` holds one list of ids for each entry of these words; the list is empty when no item has an id.
     ``table`` is a constant, so the set reaches the tasks with the plan and nothing is joined.
     """
     probe = min(PROBE, length)
@@ -88,7 +89,7 @@ def _hits(words: Column, length: int, table: Column, size: int) -> Column:
         same = F.filter(bucket(at), lambda e: e["words"] == text)
         return F.struct(
             F.sequence(at, at + length - 1).alias("positions"),
-            F.flatten(F.transform(same, lambda e: e["items"])).alias("items"),
+            F.transform(same, lambda e: e["items"]).alias("items"),
         )
 
     return F.filter(F.transform(candidates, verified), lambda h: F.size(h["items"]) > 0)
@@ -99,7 +100,7 @@ def _looked_up(text: Column, sets: dict[int, tuple[Column, int]]) -> Column:
 
     The words are bound by a lambda, so that no optimiser rule copies their computation into each use.
     """
-    none = F.array().cast("array<struct<positions: array<int>, items: array<string>>>")
+    none = F.array().cast("array<struct<positions: array<int>, items: array<array<string>>>>")
     found = F.transform(F.array(words_of(text)), lambda words: F.struct(
         F.size(words).alias("n_words"),
         F.concat(none, *(_hits(words, n, *entry) for n, entry in sets.items())).alias("hits"),
@@ -143,14 +144,15 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, most: int) -> DataFrame:
     return found.withColumns({
         "n_words": F.col("found.n_words"),
         "positions": F.array_distinct(F.flatten("found.hits.positions")),
-        "items": F.array_sort(F.array_distinct(F.flatten("found.hits.items"))),
+        "items": F.array_sort(F.array_distinct(F.flatten(F.flatten("found.hits.items")))),
     })
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of ``docs``.
 
-    A null text has no words and is clean; a null item counts as no item, a null item_id is not listed.
+    A null text has no words and is clean; a null item counts as no item. The words of an item of null item_id
+    are hit like others, the id is not listed.
     Repeated rows and items give equal results. Benchmark texts without words match nothing.
     """
     found = _with_hits(docs.select("doc_id", F.col("text").alias("t")), benchmark, most)

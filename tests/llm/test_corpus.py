@@ -170,6 +170,18 @@ def test_contamination_equals_plain_python(make, dirty_docs, most):
     same_rows([(r.doc_id, r.text) for r in clean.collect()], [d for d, e in zip(docs, expected) if not e[-1]])
 
 
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_passages_of_items_without_an_id_are_hits(make, most):
+    nameless = " ".join(f"secret{i}" for i in range(14))
+    items = [(None, nameless), (None, "only here"), (1, "known words"), (2, nameless[:60])]
+    docs = [(1, f"a {nameless} b"), (2, "it is only here, twice only here"), (3, "known words, only here"), (4, "clean")]
+    table, benchmark = make(docs, "doc_id long, text string"), make(items, "item_id long, text string")
+    expected = plain_contamination(docs, items)
+    assert [e[-1] for e in expected] == [True, True, True, False]
+    same_rows(decontaminate.contamination(table, benchmark, most).collect(), expected)
+    assert [r.doc_id for r in decontaminate.clean_documents(table, benchmark, most).collect()] == [4]
+
+
 def test_decontamination_without_documents_or_benchmark(make):
     none = make([], "item_id long, text string")
     assert decontaminate.contamination(make([]), none).collect() == []
