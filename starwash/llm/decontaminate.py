@@ -18,9 +18,11 @@ from starwash.sources.staging import stage
 BENCHMARK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 
-#: Windows of the benchmark that one broadcast set holds at most (about 0.5 kB each); a larger benchmark is
-#: looked up by a shuffled join instead.
+#: Windows of the benchmark, and UTF-8 bytes of their words and ids, that the broadcast sets hold at most; a
+#: benchmark above either bound is looked up by a shuffled join instead. Words have no greatest length: a
+#: paragraph without ASCII is one, and lies in up to WINDOW windows.
 MAX_BROADCAST_WINDOWS = 20_000
+MAX_BROADCAST_BYTES = 10_000_000
 ENTRIES = "array<array<struct<words: array<string>, items: array<string>>>>"
 PROBE = 3  # words hashed first; most positions end there
 
@@ -49,11 +51,19 @@ def _by_length(windows: DataFrame) -> list[int]:
     return sorted(r[0] for r in windows.select(F.size("words")).distinct().collect())
 
 
+def _count_and_bytes(windows: DataFrame) -> tuple[int, int]:
+    """Number of windows, and UTF-8 bytes of their words and ids."""
+    item = F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    size = F.octet_length(F.concat_ws("", "words")) + item
+    count, total = windows.agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return count, total
+
+
 def _lookup_set(windows: DataFrame, length: int) -> tuple[Column, int]:
     """A constant: 2^k buckets of (words, item ids) by the hash of the first words; and 2^k.
 
-    The caller has checked that there are at most MAX_BROADCAST_WINDOWS, the bound of what passes the driver
-    on its way into the plan. As a column of every row the set would be copied once per document.
+    The caller has checked the windows against MAX_BROADCAST_WINDOWS and MAX_BROADCAST_BYTES, the bounds of what
+    passes the driver on its way into the plan. As a column of every row the set would be copied once per document.
     """
     own = windows.filter(F.size("words") == length).groupBy("words").agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
@@ -136,8 +146,8 @@ def _joined_hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> Dat
 def _with_hits(docs: DataFrame, benchmark: DataFrame, most: int) -> DataFrame:
     """Add ``n_words``, ``positions`` (hit words) and ``items`` (sorted ids) to rows that have ``t``, a text."""
     windows = stage(benchmark_windows(benchmark))
-    lengths, count = _by_length(windows), windows.count()
-    if count > most:
+    lengths, (count, size) = _by_length(windows), _count_and_bytes(windows)
+    if count > most or size > MAX_BROADCAST_BYTES:
         numbered = docs.withColumns({"w": words_of(F.col("t")), "id": F.monotonically_increasing_id()})
         return _joined_hits(stage(numbered.drop("t")), windows, lengths)
     found = docs.withColumn("found", _looked_up(F.col("t"), {n: _lookup_set(windows, n) for n in lengths}))

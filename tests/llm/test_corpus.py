@@ -182,6 +182,16 @@ def test_passages_of_items_without_an_id_are_hits(make, most):
     assert [r.doc_id for r in decontaminate.clean_documents(table, benchmark, most).collect()] == [4]
 
 
+def test_few_windows_of_many_bytes_are_not_broadcast(make, monkeypatch):
+    """One item of words as long as paragraphs: 21 windows, 12.6 MB."""
+    paragraphs = [chr(0x4E00 + i) * 20_000 for i in range(30)]
+    items = [(1, " ".join(paragraphs)), (2, "only here")]
+    docs = [(1, "a " + " ".join(paragraphs[3:15])), (2, " ".join(paragraphs[:9])), (3, "only here")]
+    monkeypatch.setattr(decontaminate, "_lookup_set", None)
+    got = decontaminate.contamination(make(docs, "doc_id long, text string"), make(items, "item_id long, text string"))
+    same_rows(got.collect(), plain_contamination(docs, items))
+
+
 def test_decontamination_without_documents_or_benchmark(make):
     none = make([], "item_id long, text string")
     assert decontaminate.contamination(make([]), none).collect() == []
