@@ -1,7 +1,8 @@
-"""Repeated byte strings: bucket-pointer refinement of sampled text suffixes.
+"""Repeated byte strings: sampled text suffixes in buckets of equal hashes.
 
-Suffixes are put into buckets by their first q bytes, and a bucket is refined by what its members' later
-offsets hold, until members of a bucket agree on ``length`` bytes.
+This stands in for bucket-pointer refinement and is not that: no bucket is ordered or refined by the bucket names of
+later offsets, and there is no suffix order. Suffixes are put into buckets by their q-gram, and a bucket is split by
+two fixed comparisons of hashes, until members of a bucket agree on ``length`` bytes.
 
 * Sampling. Of the q-grams inside a string of ``length`` bytes one is chosen by a random order on q-grams.
   Equal strings choose the same, so it is enough to sort the suffixes that some string chose, about one in 35.
