@@ -117,21 +117,41 @@ class Suffixes:
         return start, name, check
 
 
+    def block_checks(self, chosen: np.ndarray) -> np.ndarray:
+        """Second names of the blocks of the chosen suffixes, from other values of the bytes than ``block``."""
+        order = np.argsort(self.first[chosen], kind="stable")
+        begin = self.first[chosen][order]
+        end = begin + self.count[chosen][order] + self.length - 1
+        check = np.empty(len(order), np.uint32)
+        data, at = np.frombuffer(self.batch.data, dtype=np.uint8), 0
+        while at < len(begin):
+            to = int(np.searchsorted(begin, begin[at] + SEGMENT))
+            a, b = int(begin[at]), int(end[at:to].max())
+            values = Windows(mixed(BYTE_VALUES[data[a:b]], salt=9))
+            check[order[at:to]] = values.hashes(begin[at:to] - a, end[at:to] - a) >> np.uint64(32)
+            at = to
+        return check
+
+
 def _often(inverse: np.ndarray, notes: np.ndarray) -> np.ndarray:
     """More than one suffix is in this bucket; the note says so of the batch."""
     return (np.bincount(inverse, weights=1 + notes) > 1)[inverse]
 
 
 def _one_block(inverse: np.ndarray, notes: np.ndarray) -> np.ndarray:
-    """All suffixes of this bucket have the same block; notes: the smallest and largest block of the batch."""
+    """All suffixes of this bucket have the same block; notes: the smallest and largest block and check of the batch."""
     n = inverse.max(initial=-1) + 1
-    low, high = np.full(n, ~np.uint64(0)), np.zeros(n, dtype=np.uint64)
-    np.minimum.at(low, inverse, notes["low"])
-    np.maximum.at(high, inverse, notes["high"])
-    return (low == high)[inverse]
+    same = np.ones(n, dtype=bool)
+    for least, most in (("low", "high"), ("low_check", "high_check")):
+        kind = notes[least].dtype
+        low, high = np.full(n, np.iinfo(kind).max, dtype=kind), np.zeros(n, dtype=kind)
+        np.minimum.at(low, inverse, notes[least])
+        np.maximum.at(high, inverse, notes[most])
+        same &= low == high
+    return same[inverse]
 
 
-LOW_AND_HIGH = [("low", "<u8"), ("high", "<u8")]
+LOW_AND_HIGH = [("low", "<u8"), ("high", "<u8"), ("low_check", "<u4"), ("high_check", "<u4")]
 
 
 def _shared(s: Suffixes, answers: list, parts: int) -> np.ndarray:
@@ -163,7 +183,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
     A byte of the UTF-8 text goes when a string of ``length`` bytes covers it that also starts earlier: in a
     smaller doc_id, or earlier in the same document. A null text is empty. A null doc_id comes after all
     others; rows that share an id are not earlier than each other; an empty table gives an empty result.
-    Strings are compared by 96 bits of hash or more.
+    Strings of different batches are compared by 96 bits of hash or more, those of one batch (about 4 MB) by 64.
     """
     parts = n_parts(docs)
 
@@ -175,17 +195,20 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
     def blocks(batch: Batch, answers: list) -> Iterator[tuple]:
         s = Suffixes(batch, length, q)
         shared = _shared(s, answers, parts)
+        check = s.block_checks(shared)
         keys, order, starts = grouped(_full_name(s, shared))
-        first = shared[order[starts]]
+        first = order[starts]
         notes = np.empty(len(keys), dtype=DOC_AND_CHECK)
-        notes["doc"] = batch.ids[s.row[first]]
-        notes["check"] = s.block[first] & np.uint64(0xFFFFFFFF)
+        notes["doc"] = batch.ids[s.row[shared[first]]]
+        notes["check"] = check[first]
         yield BLOCK, keys, notes
         keys, order, starts = grouped(s.bucket[shared])
         ends = np.empty(len(keys), dtype=LOW_AND_HIGH)
         if len(keys):
             ends["low"] = np.minimum.reduceat(s.block[shared][order], starts)
             ends["high"] = np.maximum.reduceat(s.block[shared][order], starts)
+            ends["low_check"] = np.minimum.reduceat(check[order], starts)
+            ends["high_check"] = np.maximum.reduceat(check[order], starts)
         yield ALONE, keys, ends
 
     def strings(batch: Batch, answers: list) -> Iterator[tuple]:

@@ -68,6 +68,23 @@ def test_bytes_equal_brute_force(make, seed):
     same_rows(got, brute(rows, by_bytes, 100, bytes))
 
 
+def test_blocks_of_equal_name_are_told_apart_by_their_check(make, monkeypatch):
+    """All blocks get the same name; documents share 90 bytes, which is no repeat, and two of them 300."""
+    class Colliding(suffixes.Suffixes):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.block = np.zeros_like(self.block)
+
+    rng = random.Random(9)
+    new = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    short, long = new(90), new(300)
+    rows = [(i, new(200) + short + new(200) + (long if i > 1 else "") + new(50)) for i in range(4)]
+    monkeypatch.setattr(suffixes, "Suffixes", Colliding)
+    monkeypatch.setattr(batches, "BATCH_BYTES", 1)  # a batch for each document
+    got = suffixes.remove_repeated_bytes(make(rows, "doc_id long, text string")).collect()
+    same_rows(got, brute(rows, by_bytes, 100, bytes))
+
+
 def test_small_batches_give_the_same(make, monkeypatch):
     rows = repetitive(5)
     docs = make(rows, "doc_id long, text string").repartition(3)
