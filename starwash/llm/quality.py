@@ -93,6 +93,8 @@ def features(stats: np.ndarray) -> np.ndarray:
         np.log1p(100 * stats[:, 2] / words),
         np.log1p(100 * stats[:, 6] / chars),
         np.log1p(100 * stats[:, 5] / chars),
+        np.log1p(100 * stats[:, 3] / words),
+        np.log1p(100 * stats[:, 4] / words),
     ])
 
 

@@ -122,6 +122,23 @@ def test_forest_finds_odd_texts_and_keeps_the_others(make):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_forest_finds_texts_odd_only_by_repetition(make):
+    """Repeated lines, and repeated words below the limit of the base rules."""
+    rng = random.Random(11)
+    new = lambda: rng.choice(["alpha", "gamma", "delta", "omega", "kappa"]) + str(rng.randint(1000, 9999))
+    rows, labels = [], []
+    for i in range(400):
+        lines = [" ".join(new() for _ in range(2)) for _ in range(60)]
+        if i % 20 == 0:
+            lines[30:50] = [lines[0]] * 20  # the same two words twenty times, below half of all words
+        rows.append((i, "\n".join(lines), "en", "a", 1))
+        labels.append((i, int(i % 20 > 0), 0))
+    got = {r.doc_id: r for r in quality.judge(make(rows), make(labels[:300], "doc_id long, quality int, toxic int")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert not any(got[i].kept for i in range(300, 400) if i % 20 == 0)
+    assert sum(got[i].kept for i in range(300, 400) if i % 20) >= 93
+
+
 def test_quality_of_dirty_rows(make, dirty_docs):
     labels = make([(None, 1, 0), (1, None, 0), (6, 1, None)], "doc_id long, quality int, toxic int")
     got = quality.judge(make(dirty_docs), labels).collect()
