@@ -30,7 +30,7 @@ SCHEMA = ", ".join(f"{c} long" for c in STATISTICS)
 TREES = 200
 TREE_ROWS = 64  # small, so that many odd rows of one kind do not hide each other
 SAMPLE_ROWS = 25_600
-MAX_LABELLED = 50_000
+SCORE_DIGITS = 4  # of a score where the threshold is set: at most 10,001 scores, however many rows are labelled
 MAX_CLEAN_LOSS = 0.002
 SEED = 7
 
@@ -164,19 +164,16 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = S
     return forest
 
 
-def calibrated(forest: Forest, x: np.ndarray, good: np.ndarray, max_clean_loss: float = MAX_CLEAN_LOSS) -> Forest:
+def calibrated(forest: Forest, counts: np.ndarray, max_clean_loss: float = MAX_CLEAN_LOSS) -> Forest:
     """Put the threshold where most bad rows lie above it and at most a share of the good ones do.
 
-    It lies halfway to the next score among the labelled rows. Without bad rows, or when no threshold gains more of them than of the good ones, nothing is odd.
+    ``counts`` has a row (score, good rows, bad rows) for each score, scores ascending. The threshold lies halfway
+    to the next score. Without bad rows, or when no threshold gains more of them than of the good ones, nothing is odd.
     """
     best = math.inf
-    if len(x) and good.any() and not good.all():
-        s = forest.scores(x)
-        cuts = np.unique(s)
-        clean = np.sort(s[good])
-        bad = np.sort(s[~good])
-        lost = 1 - np.searchsorted(clean, cuts, "right") / len(clean)
-        caught = 1 - np.searchsorted(bad, cuts, "right") / len(bad)
+    cuts, clean, bad = counts.T
+    if clean.sum() and bad.sum():
+        lost, caught = 1 - np.cumsum(clean) / clean.sum(), 1 - np.cumsum(bad) / bad.sum()
         gain = np.where(lost <= max_clean_loss, caught - lost, -1)
         at = int(gain.argmax())
         if gain[at] > 0:
@@ -184,6 +181,21 @@ def calibrated(forest: Forest, x: np.ndarray, good: np.ndarray, max_clean_loss:
     return Forest(**{**forest.__dict__, "threshold": best})
 
 
+def _score_counts(labelled: DataFrame, forest: Forest) -> np.ndarray:
+    """(score, good rows, bad rows) of all rows (STATISTICS, good), scores rounded to SCORE_DIGITS, ascending."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for rows in batches:
+            yield pd.Series(forest.scores(features(rows[STATISTICS].to_numpy(dtype=float))).round(SCORE_DIGITS))
+
+    good = F.col("good") > 0
+    counts = labelled.select(score(F.struct(*STATISTICS)).alias("score"), good.alias("is_good")).groupBy("score").agg(
+        F.count_if("is_good").alias("n_good"), F.count_if(~F.col("is_good")).alias("n_bad")
+    )
+    return counts.orderBy("score").toPandas().to_numpy(dtype=float).reshape(-1, 3)
+
+
 def _sample(df: DataFrame, columns: list[str], rows: int) -> np.ndarray:
     return bounded_sample(df.select("doc_id", *columns), rows).select(*columns).toPandas().to_numpy(dtype=float)
 
@@ -191,8 +203,8 @@ def _sample(df: DataFrame, columns: list[str], rows: int) -> np.ndarray:
 def train(stats: DataFrame, labels: DataFrame) -> Forest:
     """Fit on ``stats`` (doc_id and STATISTICS), calibrate on the rows that ``labels`` (doc_id, quality) covers.
 
-    What reaches the driver is bounded: SAMPLE_ROWS rows for the trees and MAX_LABELLED labelled rows,
-    both of texts that pass the base rules. Labels of null id or quality are ignored; a document with
+    What reaches the driver is bounded: SAMPLE_ROWS rows for the trees, and a count for each rounded score of all
+    labelled rows, both of texts that pass the base rules. Labels of null id or quality are ignored; a document with
     several labels counts once with the lowest.
     """
     passed = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
@@ -202,8 +214,8 @@ def train(stats: DataFrame, labels: DataFrame) -> Forest:
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("double").alias("good"))
     )
-    rows = _sample(passed.join(known, "doc_id"), [*STATISTICS, "good"], MAX_LABELLED).reshape(-1, len(STATISTICS) + 1)
-    return calibrated(forest, features(rows[:, :-1]), rows[:, -1] > 0)
+    labelled = passed.join(known, "doc_id").select("doc_id", *STATISTICS, "good").distinct()
+    return calibrated(forest, _score_counts(labelled, forest))
 
 
 def kept(forest: Forest, stats: np.ndarray) -> np.ndarray:

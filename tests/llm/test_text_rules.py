@@ -139,6 +139,25 @@ def test_forest_finds_texts_odd_only_by_repetition(make):
     assert sum(got[i].kept for i in range(300, 400) if i % 20) >= 93
 
 
+def test_threshold_comes_from_all_labelled_rows(make, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_LABELLED", 20, raising=False)
+    rng = random.Random(12)
+    rows = [(i, 100, 500 + rng.randint(0, 60), rng.randint(0, 9) if i % 10 else rng.randint(20, 900), 0, 0, 10, 20) for i in range(600)]
+    good = {r[0]: int(r[3] < 60) for r in rows}
+    stats = make(rows, "doc_id long, " + quality.SCHEMA)
+    labels = make([(i, q, 0) for i, q in good.items()], "doc_id long, quality int, toxic int")
+    forest = quality.train(stats, labels)
+    score = dict(zip(good, forest.scores(quality.features(np.array([r[1:] for r in rows], dtype=float))).round(4)))
+    cuts, best = sorted(set(score.values())), (0, None)
+    n_good = sum(good.values())
+    for a, b in zip(cuts, cuts[1:]):
+        lost = sum(score[i] > a for i in good if good[i]) / n_good
+        caught = sum(score[i] > a for i in good if not good[i]) / (len(good) - n_good)
+        if lost <= quality.MAX_CLEAN_LOSS and caught - lost > best[0] + 1e-9:
+            best = caught - lost, (a + b) / 2
+    assert forest.threshold == pytest.approx(best[1])
+
+
 def test_quality_of_dirty_rows(make, dirty_docs):
     labels = make([(None, 1, 0), (1, None, 0), (6, 1, None)], "doc_id long, quality int, toxic int")
     got = quality.judge(make(dirty_docs), labels).collect()
