@@ -139,19 +139,19 @@ def _often(inverse: np.ndarray, notes: np.ndarray) -> np.ndarray:
 
 
 def _one_block(inverse: np.ndarray, notes: np.ndarray) -> np.ndarray:
-    """All suffixes of this bucket have the same block; notes: the smallest and largest block and check of the batch."""
+    """All suffixes of this bucket have the same block; notes: a block of the batch, its check, and whether it is the only one."""
     n = inverse.max(initial=-1) + 1
-    same = np.ones(n, dtype=bool)
-    for least, most in (("low", "high"), ("low_check", "high_check")):
-        kind = notes[least].dtype
-        low, high = np.full(n, np.iinfo(kind).max, dtype=kind), np.zeros(n, dtype=kind)
-        np.minimum.at(low, inverse, notes[least])
-        np.maximum.at(high, inverse, notes[most])
-        same &= low == high
-    return same[inverse]
+    any_of = np.empty(n, dtype=np.int64)
+    any_of[inverse] = np.arange(len(inverse))
+    other = ~notes["only"].astype(bool)
+    for name in ("block", "check"):
+        other |= notes[name] != notes[name][any_of][inverse]
+    alone = np.ones(n, dtype=bool)
+    alone[inverse[other]] = False
+    return alone[inverse]
 
 
-LOW_AND_HIGH = [("low", "<u8"), ("high", "<u8"), ("low_check", "<u4"), ("high_check", "<u4")]
+BLOCK_AND_CHECK = [("block", "<u8"), ("check", "<u4"), ("only", "u1")]
 
 
 def _shared(s: Suffixes, answers: list, parts: int) -> np.ndarray:
@@ -203,13 +203,13 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
         notes["check"] = check[first]
         yield BLOCK, keys, notes
         keys, order, starts = grouped(s.bucket[shared])
-        ends = np.empty(len(keys), dtype=LOW_AND_HIGH)
-        if len(keys):
-            ends["low"] = np.minimum.reduceat(s.block[shared][order], starts)
-            ends["high"] = np.maximum.reduceat(s.block[shared][order], starts)
-            ends["low_check"] = np.minimum.reduceat(check[order], starts)
-            ends["high_check"] = np.maximum.reduceat(check[order], starts)
-        yield ALONE, keys, ends
+        notes = np.empty(len(keys), dtype=BLOCK_AND_CHECK)
+        notes["only"] = 1
+        for name, own in (("block", s.block[shared][order]), ("check", check[order])):
+            notes[name] = own[starts]
+            if len(keys):
+                notes["only"] &= np.minimum.reduceat(own, starts) == np.maximum.reduceat(own, starts)
+        yield ALONE, keys, notes
 
     def strings(batch: Batch, answers: list) -> Iterator[tuple]:
         s = Suffixes(batch, length, q)
@@ -252,6 +252,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
     by_doc = (in_smaller_document, DOC_AND_CHECK)
     batches = pack(docs)
     batches = asked_and_answered(batches, buckets, {BUCKET: (_often, "u1")}, parts, "answer1")
-    batches = asked_and_answered(batches, blocks, {BLOCK: by_doc, ALONE: (_one_block, LOW_AND_HIGH)}, parts, "answer2")
+    batches = asked_and_answered(batches, blocks, {BLOCK: by_doc, ALONE: (_one_block, BLOCK_AND_CHECK)}, parts, "answer2")
     batches = asked_and_answered(batches, strings, {STRING: by_doc}, parts, "answer3")
     return batches.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
