@@ -43,7 +43,8 @@ STAGES = [
     ("token-ID / binary output", token_output),
 ]
 
-#: The forest, the fingerprints and the tokens have no SQL form; tests hold run() against brute force.
+#: The forest, the fingerprints and the tokens have no SQL form; tests hold each stage against plain Python, the
+#: forest as it was grown.
 ORACLE_SQL = None
 
 

@@ -11,6 +11,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import same_rows
+from test_dedup import plain_fingerprint, roots
+from test_text_rules import plain_statistics
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -289,6 +291,71 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert [tuple(r) for r in sorted(corpus_pipeline.run(spark, sf).collect())] == [tuple(r) for r in sorted(docs.collect())]
 
 
+def plain_kept(forest, docs):
+    """Ids that pass the base rules and whose mean path through the trees, walked row by row, is not too short."""
+    out = []
+    for doc, text in docs:
+        words, chars, symbols, dup, again = plain_statistics(text)
+        marks = sum(c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" for c in text or "")
+        upper = sum("A" <= c <= "Z" for c in text or "")
+        w, n = max(1, words), max(1, chars)
+        x = [chars / w, *(np.log1p(100 * a / b) for a, b in ((symbols, w), (marks, n), (upper, n), (dup, w), (again, w)))]
+        total = 0.0
+        for t in range(len(forest.feature)):
+            at = 0
+            while forest.low[t, at] != at:
+                at = (forest.low if x[forest.feature[t, at]] < forest.split[t, at] else forest.high)[t, at]
+            total += forest.path[t, at]
+        odd = len(forest.feature) and 2 ** (-total / len(forest.feature) / forest.norm) > forest.threshold
+        if words >= 50 and 100 * again <= 50 * words and not odd:
+            out.append(doc)
+    return sorted(out)
+
+
+def plain_groups(docs):
+    """The smallest id of each group of fingerprints within two bits."""
+    prints = {doc: plain_fingerprint(text) for doc, text in docs}
+    values = sorted(set(prints.values()))
+    root = roots(values, [(a, b) for i, a in enumerate(values) for b in values[i + 1 :] if (a ^ b).bit_count() <= 2])
+    names = {}
+    for doc, p in prints.items():
+        names[root[p]] = min(names.get(root[p], doc), doc)
+    return sorted(names.values())
+
+
+def plain_mix(docs):
+    """Every id as often as its source's target takes it; docs are (id, text, source)."""
+    sizes, below = {}, {}
+    for doc, text, source in docs:
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+        bucket = int(hashlib.md5(f"20:{doc}:{size}".encode()).hexdigest()[:3], 16)
+        sizes[source] = sizes.get(source, 0) + size
+        below.setdefault(source, []).append((bucket, size, doc))
+    out = []
+    for source, target in poured(sizes).items():
+        whole = int(target / sizes[source] + 1e-9)
+        wanted = target - whole * sizes[source]
+        edges = [0, *sorted({b + 1 for b, _, _ in below[source]})]
+        edge = min(edges, key=lambda e: (abs(wanted - sum(n for b, n, _ in below[source] if b < e)), e))
+        out += [doc for b, _, doc in below[source] for _ in range(whole + (b < edge))]
+    return sorted(out)
+
+
+def test_first_stages_of_the_pipeline_equal_plain_python(spark, tmp_path):
+    """Quality, SimHash and mixing, each on its predecessor's written rows; only the grown forest is the operator's."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    forest = quality.train(quality._staged_statistics(docs), spark.read.parquet(f"{sf}/labels.parquet"))
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / str(i)))
+        after = spark.read.parquet(str(tmp_path / str(i)))
+        ids, before = sorted(r.doc_id for r in after.select("doc_id").collect()), docs.select("doc_id", "text", "source").collect()
+        pairs = [(r.doc_id, r.text) for r in before]
+        if i != 2:  # decontamination is held against plain Python above
+            assert ids == (plain_kept(forest, pairs) if i == 0 else plain_groups(pairs) if i == 1 else plain_mix(before))
+        docs = after
+
+
 def test_pipeline_of_dirty_rows(spark, make, dirty_docs, tmp_path):
     wide = make(dirty_docs).selectExpr("*", "1 as fp", "2 as n", "3 as t", "4 as copies", "5 as component_id")
     for table, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
