@@ -43,8 +43,7 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.remove(name)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard(spark, folder)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -66,3 +65,9 @@ def stage_all(builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, Data
     with ThreadPoolExecutor(len(builders)) as pool:
         tasks = [pool.submit(inherit(lambda b=build: stage(b()))) for build in builders.values()]
         return {name: task.result() for name, task in zip(builders, tasks)}
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
