@@ -145,10 +145,83 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from docs left join words using (doc_id) left join found using (doc_id)
 """
 
+FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+NEGATIVES = f"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings where label is not null and {FINITE}
+), s as (
+  select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same,
+    cast(coalesce(list_sum(list_transform(list_zip(a.e, r.e), lambda z: z[1] * z[2])), 0) as bigint) as score
+  from v a, v r where a.vec_id % 100 = 0
+), p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same and id <> anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id,
+  cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as integer) as rank,
+  id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
+def _lloyd(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Every round as a common table expression: ``a`` assigns, the next ``c`` moves the centroids."""
+    gap = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [f"""v as (
+  select row_number() over () as n, vec_id,
+    list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint)) as e
+  from embeddings where len(embedding) = {dims} and {FINITE}
+), c0 as materialized (
+  select row_number() over (order by h nulls last, e) - 1 as c, e
+  from (select sha256('{seed}:' || vec_id) as h, e from v order by h nulls last, e limit {k})
+)"""]
+    for t in range(rounds + 1):
+        steps.append(f"""a{t} as materialized (
+  select n, vec_id, v.e, c, cast({gap} as bigint) as d from v, c{t} as c
+  qualify row_number() over (partition by n order by d, c) = 1
+)""")
+        if t < rounds:
+            steps.append(f"""c{t + 1} as materialized (
+  select c, coalesce(m.e, c{t}.e) as e from c{t} left join (
+    select c, list(cast((s - ((s % m) + m) % m) // m as bigint) order by i) as e from (
+      select c, i, sum(e[i]) as s, count(*) as m from a{t}, unnest(range(1, {dims + 1})) as u(i) group by c, i
+    ) group by c
+  ) m using (c)
+)""")
+    return f"""
+with {", ".join(steps)}
+select vec_id, cast(c as integer) as cluster, d as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia,
+  cast(sum(d) over () as bigint) as inertia, sha256(array_to_string(c{rounds}.e, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (c)
+"""
+
+
+#: The article of these pages is an element of that name; SQL checks what the densities find.
+MAIN_TEXT = r"""
+with inner_html as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) as h from pages
+), plain as (
+  select page_id, url, regexp_replace(regexp_replace(h, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') as t from inner_html
+), decoded as (
+  select page_id, url,
+    regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') as t
+  from plain
+), spaced as (select page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) as text from decoded)
+select page_id, url, text, cast(length(text) as bigint) as n_chars from spaced
+"""
+
 ORACLE: dict[str, str] = {
     "op3_chat_formatting": CHATS,
     "op4_mixing": MIX,
     "op5_suffix_array_dedup": REPEATED_BYTE_RUNS,
     "op7_substring_dedup": REPEATED_WORD_RUNS,
     "op8_benchmark_decontamination": CONTAMINATION,
+    "op11_hard_negatives": NEGATIVES,
+    "op12_centroid_clustering": _lloyd(),
+    "op13_html_extraction": MAIN_TEXT,
 }

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starwash.llm import chat, decontaminate, mixing, quality, secrets, simhash, substring, suffixes, tokens, urls
+from starwash.llm import (
+    chat, clusters, decontaminate, maintext, mixing, negatives, quality, secrets, simhash, substring, suffixes, tokens, urls,
+)
 from starwash.llm.common import table
 
 
@@ -57,9 +59,24 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, urls.labelled_by_rules(pages))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label, seventh = F.col("label").cast("long"), F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (label + 1) % 10).otherwise(label).cast("int")
+    return negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_simhash_near_dedup, op3_chat_formatting, op4_mixing, op5_suffix_array_dedup,
-        op6_token_output, op7_substring_dedup, op8_benchmark_decontamination, op9_quality_rules, op10_url_filters,
+        op6_token_output, op7_substring_dedup, op8_benchmark_decontamination, op9_quality_rules, op10_url_filters, op11_hard_negatives,
+        op12_centroid_clustering, op13_html_extraction,
     )
 }
