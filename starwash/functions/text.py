@@ -114,7 +114,12 @@ def null_if_token(c: Column) -> Column:
     return F.when(~c.isin(NULL_TOKENS), c)
 
 
+def quoted(name: str) -> str:
+    """A column name for ``F.col`` and DDL, whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Replace null tokens in the given text columns (default: all text columns)."""
     names = columns if columns is not None else [n for n, t in df.dtypes if t == "string"]
-    return df.withColumns({n: null_if_token(F.col(n)) for n in names})
+    return df.withColumns({n: null_if_token(F.col(quoted(n))) for n in names})

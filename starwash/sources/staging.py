@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from starwash.sources.files import delete
+
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's checkpoint folder."""
@@ -19,7 +22,8 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
-_scopes: list[str] = []
+#: Open scopes of the running block. A thread has its own; ``stage_all`` hands them to the threads it starts.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("starwash_staging_scopes", default=())
 
 
 def _folder(spark: SparkSession) -> str:
@@ -27,22 +31,22 @@ def _folder(spark: SparkSession) -> str:
 
 
 def staged_path(spark: SparkSession) -> str:
-    return "/".join([_folder(spark), *_scopes, uuid.uuid4().hex])
+    return "/".join([_folder(spark), *_scopes.get(), uuid.uuid4().hex])
 
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end of the block what was staged inside it, by any thread.
+    """Delete at the end of the block what was staged inside it, by it and by the threads of ``stage_all``.
 
     Results that still read staged tables must be written or collected before the block ends. Scopes nest.
     """
     name = f"scope-{uuid.uuid4().hex}"
-    _scopes.append(name)
-    folder = "/".join([_folder(spark), *_scopes])
+    folder = "/".join([_folder(spark), *_scopes.get(), name])
+    outer = _scopes.set((*_scopes.get(), name))
     try:
         yield
     finally:
-        _scopes.remove(name)
+        _scopes.reset(outer)
         discard(spark, folder)
 
 
@@ -63,11 +67,12 @@ def stage_all(builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, Data
     """Stage several independent tables at the same time, so that none leaves cores idle at its end."""
     inherit = inheritable_thread_target(SparkSession.active())  # the caller's job group and scheduler pool
     with ThreadPoolExecutor(len(builders)) as pool:
-        tasks = [pool.submit(inherit(lambda b=build: stage(b()))) for build in builders.values()]
+        tasks = [
+            pool.submit(copy_context().run, inherit(lambda b=build: stage(b()))) for build in builders.values()
+        ]
         return {name: task.result() for name, task in zip(builders, tasks)}
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, path)

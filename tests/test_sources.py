@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import os
+import random
+import threading
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from starwash.sources.csv import REJECT, MalformedCsv, scan_csv, split_rejects, write_csv
+from starwash.sources.csv import REJECT, MalformedCsv, ends_in_quotes, parsed_lines, scan_csv, split_rejects, write_csv
 from starwash.sources.staging import stage, stage_all, staging_root, staging_scope
 from starwash.sources.tables import run_sql, write_table
 
@@ -98,3 +101,111 @@ def test_write_table_counts_rows(spark):
     assert run_sql(spark, "select count(*) as n from counted").first().n == 8
     assert write_table(spark.range(2), "counted", mode="overwrite") == 2
     assert spark.table("counted").count() == 2
+
+
+@pytest.mark.parametrize("line,opened", [
+    ("plain,line", False), ('pipe 5" wide,3', False), ('"x', True), ('a,"x', True), ('a,"x""', True), ('a,"x"""', False),
+    ('"a","b"', False), ('"a","b', True), ('"a"b"c,"d', True), ('5" wide,"open', True), ('"a,b', True), ('"a,b",c', False),
+    ("", False), ('""', False), ('"",""', False), (',,"', True), ('a"b,"c"d",e', False), ('x,"' + 'y' * 5000, True),
+    (",".join(['"a""b"'] * 20000), False), (",".join(['"a""b"'] * 20000) + ',"', True),
+])
+def test_lines_that_end_inside_quotes(spark, line, opened):
+    df = spark.createDataFrame([(line,)], "line string")
+    assert df.select(ends_in_quotes(F.col("line"))).first()[0] is opened
+
+
+def test_lines_that_end_inside_quotes_against_a_state_machine(spark):
+    def plain(line):
+        state = "start"
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if state == "start":
+                state = "quoted" if c == '"' else "start" if c == "," else "text"
+            elif state == "quoted":
+                if c == '"':
+                    if line[i + 1 : i + 2] == '"':
+                        i += 1
+                    else:
+                        state = "text"
+            elif c == ",":
+                state = "start"
+            i += 1
+        return state == "quoted"
+
+    rng = random.Random(4)
+    lines = ["".join(rng.choice('",a') for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r[0]: r[1] for r in df.select("line", ends_in_quotes(F.col("line"))).collect()}
+    assert all(got[x] == plain(x) for x in lines)
+
+
+def test_stray_quotes_load_and_the_files_are_read_once(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('item,size\npipe 5" wide,3\n"a, ""b""",4\n"",5\n')
+    assert [tuple(r) for r in scan_csv(spark, str(path)).collect()] == [('pipe 5" wide', "3"), ('a, "b"', "4"), (None, "5")]
+    plan = parsed_lines(spark, str(path), ["item", "size"], True, None, False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert all(  # the result reads the staged columns only
+        str(tmp_path) not in f for f in scan_csv(spark, str(path)).inputFiles()
+    )
+
+
+def test_a_broken_row_behind_a_line_break_is_reported_as_line_break(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b,c\n1,2,3\n4,"x\ny",6\n')
+    with pytest.raises(MalformedCsv, match="line break"):
+        scan_csv(spark, str(path))
+
+
+def test_headers_are_checked(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(MalformedCsv, match="header"):
+        scan_csv(spark, str(tmp_path / "one.csv"), ["a", "c"])
+    (tmp_path / "two.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_ordinal_over_several_files_and_splits(spark, tmp_path):
+    for f in range(3):
+        (tmp_path / f"f{f}.csv").write_text("k,v\n" + "".join(f"{f}-{i:05d},{'x' * (i % 50)}\n" for i in range(3000 * (3 - f))))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = scan_csv(spark, str(tmp_path), order_column="ord")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert dict(df.dtypes)["ord"] == "bigint"
+    rows = df.orderBy("ord").collect()
+    assert [r.k for r in rows] == sorted(r.k for r in rows) and len({r.ord for r in rows}) == 18000
+
+
+def test_columns_of_a_csv_may_have_the_names_used_inside(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("file,split,row,record,open,line,a`b\n1,2,3,4,5,6,7\n")
+    got = scan_csv(spark, str(path), order_column="ord").drop("ord").first()
+    assert got.asDict() == {"file": "1", "split": "2", "row": "3", "record": "4", "open": "5", "line": "6", "a`b": "7"}
+
+
+def test_scopes_of_two_threads_do_not_touch_each_other(spark):
+    ready, done = threading.Barrier(2), threading.Event()
+    kept = {}
+
+    def first():
+        with staging_scope(spark):
+            ready.wait(60)
+            done.wait(60)
+
+    def second():
+        with staging_scope(spark):
+            ready.wait(60)
+            kept["df"] = stage(spark.range(4))
+            done.set()
+            other.join(60)  # the first scope has ended
+            kept["n"] = kept["df"].count()
+
+    other = threading.Thread(target=first)
+    other.start()
+    second()
+    assert kept["n"] == 4
