@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starwash.operators.ordering import first_per_key
 from starwash.sources.staging import stage
 
 
@@ -39,15 +40,13 @@ def keep_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_from_same_key(df: DataFrame, key: str, column: str, order: str) -> DataFrame:
-    """Fill null or blank ``column`` with the first known value of the same ``key``.
+    """Fill null or blank ``column`` with the first known value of the same ``key``, in the unique bigint ``order``.
 
     The lookup is reduced map-side to one row per key and staged, so that its true size decides
     between a broadcast and a shuffled join.
     """
     known = F.when(F.col(column) != "", F.col(column))
-    lookup = stage(
-        df.filter((F.col(column) != "") & F.col(key).isNotNull())
-        .groupBy(key).agg(F.min_by(column, order).alias("_known"))
-    )
+    lookup = stage(first_per_key(df, key, order, {column: F.col(column) != ""}, join_null=False))
+    lookup = lookup.withColumnRenamed(column, "_known")
     filled = df.join(lookup, key, "left").withColumn(column, F.coalesce(known, F.col("_known")))
     return filled.select(*df.columns)

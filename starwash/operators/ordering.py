@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from starwash.sources.staging import stage
@@ -29,6 +31,45 @@ def sorted_chunks(df: DataFrame, *keys: str | Column, chunks: int | None = None)
     )
 
 
+def with_ordinal(df: DataFrame, name: str, *order: str | Column, chunks: int | None = None) -> DataFrame:
+    """A bigint column that grows along ``order``: chunk number, then place in the chunk.
+
+    For tables without a position of their own; a CSV scan gives one for nothing. Every later comparison along
+    the order is then one of fixed width, which aggregates keep in hash tables. Staged, as ``sorted_chunks``.
+    """
+    parts = sorted_chunks(df, *order, chunks=chunks)
+    ordinal = F.shiftleft(F.col(CHUNK).cast("bigint"), 33).bitwiseOR(F.col(POSITION))
+    return parts.select(*df.columns, ordinal.alias(name))
+
+
+def first_per_key(
+    df: DataFrame, key: str, order: str, first: Mapping[str, Column | None], join_null: bool = True
+) -> DataFrame:
+    """``key`` and columns ``first``: each the value of the first row of the key, in the unique bigint ``order``,
+    that meets its condition (None: of the first row at all); null where no row does.
+
+    In two steps: the least ``order`` per key and column, a hash aggregate of fixed width that starts map-side, and
+    the values by joining back on it. The staged result of the first step tells the planner whether it is small
+    enough to be broadcast, so that the rows need not move. ``join_null``: null is a key as any other.
+    """
+    rows = df.select(*dict.fromkeys([key, order, *first]))
+    rows = rows if join_null else rows.filter(F.col(key).isNotNull())
+    place = {c: f"_at{i}" for i, c in enumerate(first)}
+    least = [
+        F.min(F.col(order) if usable is None else F.when(usable, F.col(order))).alias(place[c]) for c, usable in first.items()
+    ]
+    found = stage(rows.groupBy(F.col(key).alias("_key")).agg(*least))
+    wanted = F.lit(False)
+    for at in place.values():
+        wanted = wanted | F.coalesce(F.col(order) == F.col(at), F.lit(False))
+    hits = stage(rows.join(found, F.col(key).eqNullSafe(F.col("_key"))).filter(wanted).drop("_key"))
+    out = hits.select(F.col(key).alias("_key")).distinct()
+    for c, at in place.items():
+        own = hits.filter(F.col(order) == F.col(at)).select(F.col(key).alias("_own"), F.col(c).alias(f"{at}_value"))
+        out = out.join(own, F.col("_key").eqNullSafe(F.col("_own")), "left").drop("_own")
+    return out.select(F.col("_key").alias(key), *[F.col(f"{at}_value").alias(c) for c, at in place.items() if c != key])
+
+
 def with_dense_ids(df: DataFrame, key: str, id_column: str, chunks: int | None = None) -> DataFrame:
     """Ids 1..n in the order of a unique ``key`` (nulls last), as the first column.
 
@@ -69,10 +110,15 @@ def fill_within_group(
     so_far = F.last(value, ignorenulls=True).over(in_chunk.rowsBetween(W.unboundedPreceding, 0))
     filled = parts.withColumn("_here", so_far)
 
-    summary = parts.groupBy(CHUNK, key).agg(
-        F.max_by(value, F.when(value.isNotNull(), F.col(POSITION))).alias("_last"),
-        F.min_by(value, F.when(value.isNotNull(), F.col(POSITION))).alias("_first"),
-    )
+    # Places first, as numbers of fixed width; then the values at those places.
+    known = F.when(value.isNotNull(), F.col(POSITION))
+    places = stage(parts.groupBy(CHUNK, key).agg(F.max(known).alias("_last_at"), F.min(known).alias("_first_at")))
+    at = F.explode(F.array_distinct(F.array("_first_at", "_last_at"))).alias(POSITION)
+    values = stage(parts.select(CHUNK, POSITION, value.alias("_value")).join(places.select(CHUNK, at), [CHUNK, POSITION]))
+    summary = places
+    for place, name in (("_last_at", "_last"), ("_first_at", "_first")):
+        there = values.select(CHUNK, F.col(POSITION).alias(place), F.col("_value").alias(name))
+        summary = summary.join(there, [CHUNK, place], "left")
     across = W.partitionBy(key).orderBy(CHUNK)
     carried = F.last("_last", ignorenulls=True).over(across.rowsBetween(W.unboundedPreceding, -1))
     first = F.first("_first", ignorenulls=True).over(

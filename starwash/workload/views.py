@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starwash.operators.ordering import with_ordinal
 
 # Date formats as (Spark, DuckDB).
 FORMATS = {
@@ -254,16 +255,18 @@ def dirty(
     columns: Sequence[str] | None = None,
     order: str | None = None,
     copies: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The view as a DataFrame.
 
-    ``order`` names a struct column of the whole base row: the driver files have no row order, so the
-    sorted row stands for it. ``copies`` adds exact duplicates.
+    ``order`` names a bigint column, the ordinal of the base row: the driver files have no row order, so the
+    sorted row stands for it. ``copies`` adds exact duplicates, ``keep`` columns of the base table.
     """
     names = list(columns or columns_of(view))
-    extra = [f"struct({', '.join(LINEITEM_ORDER)}) as {order}"] if order else []
-    text, tables = _select(view, names, SPARK, extra)
+    text, tables = _select(view, names, SPARK, [*([order] if order else []), *keep])
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    if order:
+        frames["lineitem"] = with_ordinal(frames["lineitem"].select(*LINEITEM_ORDER), order, *LINEITEM_ORDER)
     # Each table becomes a named argument of the statement; nothing is registered in the session.
     named = re.sub(rf"\b(from|join) ({'|'.join(tables)})\b", r"\1 {\2}", text)
     out = spark.sql(named, **frames)

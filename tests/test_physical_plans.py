@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starwash.operators import dedupe, fill, star
+from starwash.operators import dedupe, fill, ordering, star
 from starwash.plans import order_warehouse as warehouse, reports
 from starwash.sources.staging import stage
 from starwash.workload.queries import QUERIES
@@ -45,6 +45,30 @@ def test_keep_first_limits_groups_before_the_shuffle(spark, small):
         assert text.index("row_number(), 1, Final") < shuffle < partial
 
 
+def test_first_values_need_no_sort_and_no_struct_key(spark, small, monkeypatch):
+    """Every job that fills or looks up first values, up to each table it stages on the way."""
+    staged = []
+
+    def seen(df, real=stage):
+        staged.append(plan(df))
+        return real(df)
+
+    for module in (ordering, fill, star):
+        monkeypatch.setattr(module, "stage", seen)
+    sales = dirty(spark, small, "sales", ["Store_Code", "Region", "Product_Name", "Category"], order="ord")
+    assert dict(sales.dtypes)["ord"] == "bigint"
+    staged.clear()  # the ordinal itself is made by sorting
+    for out in (
+        fill.fill_from_same_key(sales, "Store_Code", "Region", "ord"),
+        star.build_filled_dimension(sales, "Product_Name", "Store_Code", "Category", "none", "id", "ord"),
+        ordering.fill_within_group(sales, "Product_Name", "Category", "ord"),
+    ):
+        staged.append(plan(out))
+    assert len(staged) >= 8
+    assert not any("SortAggregate" in text for text in staged)
+    assert not any(re.search(r"Sort \[struct|min\(struct|min_by|max_by", text) for text in staged)
+
+
 def test_scan_reads_only_what_is_needed(spark, small):
     text = plan(QUERIES["parse_dates_multi"](spark, small))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
