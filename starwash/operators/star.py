@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starwash.functions.dates import calendar_parts, date_text
 from starwash.operators.dedupe import keep_first
-from starwash.operators.ordering import with_dense_day_ids, with_dense_ids
+from starwash.operators.ordering import first_per_key, with_dense_day_ids, with_dense_ids
+from starwash.sources.staging import stage
 
 
 def build_dimension(df: DataFrame, columns: Sequence[str], key: str, id_column: str, order: str) -> DataFrame:
@@ -24,14 +25,10 @@ def build_filled_dimension(
     in some rows of a key.
 
     Filling forward and backward and then keeping the first row leaves the first known value of the
-    group, so it is one aggregate that starts before the shuffle.
+    group, so it needs the least ``order``, a unique bigint, of each column only.
     """
-    per_key = df.groupBy(key).agg(
-        F.min_by(first, order).alias(first),
-        F.coalesce(
-            F.min_by(filled, F.when(F.col(filled).isNotNull(), F.col(order))), F.lit(default)
-        ).alias(filled),
-    )
+    known = first_per_key(df, key, order, {first: None, filled: F.col(filled).isNotNull()})
+    per_key = known.withColumn(filled, F.coalesce(filled, F.lit(default)))
     return with_dense_ids(per_key, key, id_column).select(id_column, first, filled)
 
 
@@ -43,6 +40,35 @@ def build_date_dimension(df: DataFrame, date: str, id_column: str = "date_id") -
     return numbered.select(id_column, date_text(F.col("_day")).alias("date"), *parts)
 
 
+def unseen_rows(stored: DataFrame, new: DataFrame, key: Column, id_column: str) -> DataFrame:
+    """Rows of ``new`` whose natural ``key`` (an expression over the columns of both) ``stored`` lacks, with ids.
+
+    Stored rows keep their ids, the others get the next ones in the order of ``new``'s own ids. Null is a key as
+    any other. Only the largest stored id, one number, reaches the driver.
+    """
+    last = stored.agg(F.max(id_column)).first()[0] or 0
+    keys = stored.select(key.alias("_stored_key"))
+    fresh = new.withColumn("_key", key).join(keys, F.col("_key").eqNullSafe(F.col("_stored_key")), "left_anti").drop("_key")
+    rest = [c for c in new.columns if c != id_column]
+    numbered = with_dense_ids(fresh.withColumnRenamed(id_column, "_order"), "_order", id_column)
+    return numbered.withColumn(id_column, F.col(id_column) + F.lit(last)).select(id_column, *rest)
+
+
+def append_dimension(
+    stored: DataFrame, new: DataFrame, key: Column, id_column: str, append: Callable[[DataFrame], int]
+) -> int:
+    """``append`` the rows of ``new`` that ``stored`` lacks; their number. Nothing is written when there are none."""
+    fresh = stage(unseen_rows(stored, new, key, id_column))
+    return 0 if fresh.isEmpty() else append(fresh)
+
+
+def matched_ids(new: DataFrame, stored: DataFrame, key: Column, id_column: str) -> DataFrame:
+    """``(id_column, _stored)``: the stored id of every row of ``new`` by the natural ``key``, staged."""
+    theirs = stored.select(key.alias("_stored_key"), F.col(id_column).alias("_stored"))
+    mine = new.select(id_column, key.alias("_key"))
+    return stage(mine.join(theirs, F.col("_key").eqNullSafe(F.col("_stored_key"))).select(id_column, "_stored"))
+
+
 def lookup_id(df: DataFrame, value: Column, dim: DataFrame, dim_key: Column, id_column: str) -> DataFrame:
     """Left join that adds ``id_column`` of the dimension row whose key equals ``value``.
 

@@ -15,12 +15,11 @@ from starwash.operators.checks import (
 from starwash.operators.dedupe import keep_first
 from starwash.operators.fill import is_complete, keep_incomplete
 from starwash.operators.star import (
-    build_date_dimension, build_dimension, build_filled_dimension, lookup_id, unmatched,
+    append_dimension, build_date_dimension, build_dimension, build_filled_dimension, lookup_id, matched_ids, unmatched,
 )
+from starwash.sources.publish import warehouse_of
 from starwash.sources.staging import stage, stage_all
-from starwash.sources.tables import (
-    WAREHOUSE, create_tables, load_dimensions, read_table, write_table,
-)
+from starwash.sources.tables import WAREHOUSE, create_tables, load_dimensions, qualified, read_table, write_table
 
 # What the dimensions promise, checked before anything is replaced.
 DIMENSION_RULES = {
@@ -36,6 +35,12 @@ CLEAN = [
 ]
 IDS = ["customer_id", "product_id", "date_id"]
 FOREIGN_KEYS = {"customer_id": "dim_customer", "product_id": "dim_product", "date_id": "dim_date"}
+# Natural key, as SQL over the dimension's columns, and id of each dimension.
+NATURAL_KEYS = {
+    "dim_customer": ("lower(email)", "customer_id"),
+    "dim_product": ("lower(product_name)", "product_id"),
+    "dim_date": ("date", "date_id"),
+}
 FACT = ["order_id", *IDS, "quantity", "unit_price", "amount"]
 
 
@@ -156,16 +161,42 @@ def load_fact(spark: SparkSession, fact: DataFrame, database: str | None = None,
     return write_table(fact, f"{database}.fact_sales" if database else "fact_sales", cluster_by="date_id")
 
 
+def check_star(tables: Mapping[str, DataFrame]) -> None:
+    """Every constraint of the warehouse; raises on a broken one."""
+    require_valid(tables, DIMENSION_RULES)
+    require_fact(tables["fact_sales"], tables)
+
+
 def load_star(spark: SparkSession, star: Mapping[str, DataFrame], database: str | None = None) -> dict[str, int]:
-    """Fresh load of the whole warehouse.
+    """Fresh load of the whole warehouse: rows per table.
+
+    A new version of all tables is written and checked, then published by one rename. A load that fails or is
+    stopped at any point leaves the old warehouse or, from the rename on, the new one; the next load, or
+    ``Warehouse.recover``, points the rest of the catalog tables to it.
+    """
+    return warehouse_of(spark, database).publish(
+        {name: star[name] for name in WAREHOUSE}, check_star, WAREHOUSE, {"fact_sales": "date_id"}
+    )
+
+
+def append_star(spark: SparkSession, star: Mapping[str, DataFrame], database: str | None = None) -> dict[str, int]:
+    """Add another load to the warehouse: rows added per table.
 
-    All tables are staged and all constraints checked first; only then are the old tables replaced, so a
-    load that fails leaves them as they were.
+    ``star`` has ids of its own. Its dimension rows that the warehouse does not have are appended with ids above the
+    stored ones, then the facts of orders that it does not have, with the stored ids. Every step adds only what is
+    missing, so a load that was stopped is completed by running it again, and a second run adds nothing.
     """
-    staged = {name: stage(star[name]) for name in WAREHOUSE}
-    require_valid(staged, DIMENSION_RULES)
-    require_fact(staged["fact_sales"], staged)
-    create_tables(spark, database)
-    loaded = load_dimensions({n: df for n, df in staged.items() if n != "fact_sales"}, database)
-    loaded["fact_sales"] = load_fact(spark, staged["fact_sales"], database, checked=True)
-    return {n: loaded[n] for n in WAREHOUSE}
+    added = {}
+    for name, (key, id_column) in NATURAL_KEYS.items():
+        added[name] = append_dimension(
+            read_table(spark, name, database), star[name], F.expr(key), id_column,
+            lambda rows, n=name: write_table(rows, qualified(n, database)),
+        )
+    fact = star["fact_sales"]
+    for name, (key, id_column) in NATURAL_KEYS.items():
+        ids = matched_ids(star[name], read_table(spark, name, database), F.expr(key), id_column)
+        fact = fact.join(ids, id_column, "left").withColumn(id_column, F.col("_stored")).drop("_stored")
+    known = read_table(spark, "fact_sales", database).select("order_id")
+    fresh = stage(fact.select(*FACT).join(known, "order_id", "left_anti"))
+    added["fact_sales"] = 0 if fresh.isEmpty() else load_fact(spark, fresh, database)
+    return added

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starwash.functions.dates import date_text, parse_dates
 from starwash.functions.numeric import net_amount, parse_number
@@ -13,6 +13,7 @@ from starwash.operators.checks import TableRules, ValidationError, foreign_key_o
 from starwash.operators.dedupe import keep_first
 from starwash.operators.fill import drop_incomplete, fill_from_same_key, is_complete
 from starwash.operators.star import build_date_dimension, build_dimension, lookup_id
+from starwash.sources.publish import Warehouse
 from starwash.sources.staging import stage, stage_all
 
 TITLE_COLUMNS = ["Branch", "Province", "Region", "Product_Name", "Category"]
@@ -124,21 +125,27 @@ def build_star(raw: DataFrame, order: str = "ord") -> dict[str, DataFrame]:
 
 def unmatched_ids(star: dict[str, DataFrame]) -> DataFrame:
     """Ids of the fact, null apart, that a dimension does not hold; as ``foreign_key_orphans``."""
-    fact = star["Fact_Sales"]
-    orphans = [
-        foreign_key_orphans(fact.filter(F.col(key).isNotNull()), {key: star[name]}) for key, name in FOREIGN_KEYS.items()
-    ]
-    return reduce(DataFrame.unionByName, orphans)
+    held = {key: star[name] for key, name in FOREIGN_KEYS.items()}
+    return foreign_key_orphans(star["Fact_Sales"], held).filter("key_value is not null")
 
 
-def write_star(star: dict[str, DataFrame], path: str) -> None:
-    """Check every table, then write all as Parquet under ``path``, replacing an earlier run.
+def check_star(tables: Mapping[str, DataFrame]) -> None:
+    """Every constraint of the star; raises on a broken one."""
+    require_valid(tables, RULES)
+    if not unmatched_ids(tables).isEmpty():
+        raise ValidationError("the fact refers to ids that no dimension has")
+
+
+def write_star(star: Mapping[str, DataFrame], path: str) -> dict[str, int]:
+    """Publish all tables as Parquet folders under ``path``, replacing an earlier run; rows per table.
 
-    A broken constraint raises before anything is replaced.
+    They are written as a new version and checked there; a broken constraint raises before anything is replaced.
+    One rename makes the version the current one, then its folders are moved to ``<path>/<table>``. ``read_star``
+    reads one whole version at any time, also while a stopped run waits to be carried out by the next.
     """
-    staged = {name: stage(df) for name, df in star.items()}
-    require_valid(staged, RULES)
-    if not unmatched_ids(staged).isEmpty():
-        raise ValidationError("the fact refers to ids that no dimension has")
-    for name, df in staged.items():
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    return Warehouse(next(iter(star.values())).sparkSession, path).publish(star, check_star)
+
+
+def read_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    warehouse = Warehouse(spark, path)
+    return {name: warehouse.read(name) for name in RULES}

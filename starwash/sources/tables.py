@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 # Column types of the published warehouse, dimensions before the fact.
 WAREHOUSE = {
@@ -21,7 +21,7 @@ WAREHOUSE = {
 }
 
 
-def _qualified(name: str, database: str | None) -> str:
+def qualified(name: str, database: str | None) -> str:
     return f"{database}.{name}" if database else name
 
 
@@ -30,15 +30,15 @@ def create_tables(spark: SparkSession, database: str | None = None, fresh: bool
     if fresh:
         drop_tables(spark, database)
     for name, columns in WAREHOUSE.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {_qualified(name, database)} ({columns}) USING parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified(name, database)} ({columns}) USING parquet")
 
 
 def drop_tables(spark: SparkSession, database: str | None = None) -> None:
     for name in reversed(WAREHOUSE):
-        spark.sql(f"DROP TABLE IF EXISTS {_qualified(name, database)}")
+        spark.sql(f"DROP TABLE IF EXISTS {qualified(name, database)}")
 
 
-def write_table(df: DataFrame, name: str, mode: str = "append", cluster_by: str | None = None) -> int:
+def counted_write(df: DataFrame, cluster_by: str | None, write: Callable[[DataFrameWriter], None]) -> int:
     """Write and return the row count, counted during the write.
 
     ``cluster_by`` sorts the rows into ranges of one column, so that readers which filter on it skip
@@ -49,18 +49,26 @@ def write_table(df: DataFrame, name: str, mode: str = "append", cluster_by: str
         files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(files, cluster_by).sortWithinPartitions(cluster_by)
     written = Observation()
-    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode(mode).format("parquet").saveAsTable(name)
+    write(df.observe(written, F.count(F.lit(1)).alias("rows")).write)
     return written.get["rows"]
 
 
+def write_table(df: DataFrame, name: str, mode: str = "append", cluster_by: str | None = None) -> int:
+    """Write a catalog table and return the row count, as ``counted_write``.
+
+    ``overwrite`` drops the old table before it writes: use ``publish.Warehouse`` where a stopped load must not
+    leave readers without one.
+    """
+    return counted_write(df, cluster_by, lambda out: out.mode(mode).format("parquet").saveAsTable(name))
+
+
 def load_dimensions(dimensions: Mapping[str, DataFrame], database: str | None = None) -> dict[str, int]:
     """Append every dimension; run before the fact is loaded."""
-    return {name: write_table(df, _qualified(name, database)) for name, df in dimensions.items()}
+    return {name: write_table(df, qualified(name, database)) for name, df in dimensions.items()}
 
 
 def read_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
-    return spark.table(_qualified(name, database))
+    return spark.table(qualified(name, database))
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
