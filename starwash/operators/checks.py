@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starwash.functions.rules import not_in_set
 from starwash.operators.dedupe import duplicate_key_count
+from starwash.sources.staging import stage
 
 
 class ValidationError(ValueError):
@@ -19,15 +20,18 @@ class ValidationError(ValueError):
 def foreign_key_orphans(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """``(foreign_key, key_value, n_rows)`` for fact keys absent from ``{key column: dimension}``.
 
-    The fact is reduced to one row per key before it meets the dimension.
+    One pass over the fact for all keys: it is reduced map-side to one row per key column and value before those
+    meet the keys of all dimensions in one anti-join. Keys of different types are compared and shown as text.
     """
-    def missing(key: str, dim: DataFrame) -> DataFrame:
-        used = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-        return used.join(dim.select(key), key, "left_anti").select(
-            F.lit(key).alias("foreign_key"), F.col(key).alias("key_value"), "n_rows"
-        )
+    types = {fact.schema[key].dataType.simpleString() for key in dimensions}
+    one_type = types.pop() if len(types) == 1 else "string"
+
+    def pair(key: str) -> Column:
+        return F.struct(F.lit(key).alias("foreign_key"), F.col(key).cast(one_type).alias("key_value"))
 
-    return reduce(DataFrame.unionByName, [missing(k, d) for k, d in dimensions.items()])
+    used = fact.select(F.explode(F.array(*map(pair, dimensions))).alias("k")).groupBy("k.foreign_key", "k.key_value")
+    held = reduce(DataFrame.unionByName, [dim.select(pair(key).alias("k")).select("k.*") for key, dim in dimensions.items()])
+    return used.agg(F.count(F.lit(1)).alias("n_rows")).join(held, ["foreign_key", "key_value"], "left_anti")
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -145,3 +149,54 @@ def check_expectations(df: DataFrame, expectations: Sequence[Expectation]) -> Da
         for i, e in enumerate(expectations)
     ])
     return df.agg(*counts).select(F.inline(rows))
+
+
+MAX_RULES = 62
+
+
+@dataclass(frozen=True)
+class Quarantine:
+    """What expectations say of a table: ``counts`` as ``check_expectations``, the rows that meet all rules, and the
+    others with ``reasons``, an array of ``rule(column)`` in the order of the expectations."""
+
+    counts: DataFrame
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def _mask(bits: Sequence[Column]) -> Column:
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.when(b, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, b in enumerate(bits)])
+
+
+def quarantine(df: DataFrame, expectations: Sequence[Expectation], reasons: str = "reasons") -> Quarantine:
+    """Evaluate all rules once per row, as a bit for each broken one, and derive counts and both tables from that.
+
+    ``df`` is computed once and staged with two bit masks; the counts come from the few different pairs of masks.
+    """
+    if not 0 < len(expectations) <= MAX_RULES:
+        raise ValueError(f"between 1 and {MAX_RULES} expectations")
+    applies = [F.lit(True) if e.applies is None else F.coalesce(e.applies, F.lit(False)) for e in expectations]
+    broken = [a & e.failed for a, e in zip(applies, expectations)]
+    judged = stage(df.select(F.struct("*").alias("row"), _mask(applies).alias("checked"), _mask(broken).alias("broken")))
+
+    pairs = judged.groupBy("checked", "broken").agg(F.count(F.lit(1)).alias("n"))
+
+    def n_with(mask: str, place: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(mask).bitwiseAND(F.lit(1 << place)) != 0, F.col("n"))), F.lit(0))
+
+    sums = pairs.agg(*[n_with(mask, i).alias(f"{mask}{i}") for i in range(len(expectations)) for mask in ("checked", "broken")])
+    counts = sums.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(e.rule).alias("rule"), F.lit(e.column).alias("column"), F.col(f"checked{i}").alias("n_checked"),
+            F.col(f"broken{i}").alias("n_failed"), (F.col(f"broken{i}") == 0).alias("passed"),
+        )
+        for i, e in enumerate(expectations)
+    ])))
+    names = [
+        F.when(F.col("broken").bitwiseAND(F.lit(1 << i)) != 0, F.lit(f"{e.rule}({e.column})")) for i, e in enumerate(expectations)
+    ]
+    return Quarantine(
+        counts,
+        judged.filter("broken = 0").select("row.*"),
+        judged.filter("broken <> 0").select("row.*", F.array_compact(F.array(*names)).alias(reasons)),
+    )

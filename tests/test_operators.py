@@ -233,3 +233,125 @@ def test_chunk_count_does_not_change_results(hot, chunks):
     assert rows(ids, "o", "id") == rows(ordering.with_dense_ids(hot.select("o"), "o", "id"), "o", "id")
     known = rows(quantiles.exact_quantiles(hot, ["o"], (0.1, 0.5)))
     assert rows(quantiles.exact_quantiles(hot, ["o"], (0.1, 0.5), chunks=chunks)) == known
+
+
+def test_first_per_key_with_null_keys_and_missing_values(spark):
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "b", None, "hot", "hot"]), o, rng.choice([None, None, "", f"v{o}"]), f"w{o}") for o in range(500)]
+    data += [("never", 500, None, "w500")]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, o long, v string, w string").repartition(7)
+    got = ordering.first_per_key(df, "k", "o", {"w": None, "v": F.col("v") != ""})
+    want = {}
+    for k, _, v, w in sorted(data, key=lambda r: r[1]):
+        old = want.setdefault(k, [w, None])
+        old[1] = old[1] or (v or None)
+    assert {r.k: [r.w, r.v] for r in got.collect()} == want
+    known = ordering.first_per_key(df, "k", "o", {"v": F.col("v") != ""}, join_null=False)
+    assert {r.k: r.v for r in known.collect()} == {k: v for k, (_, v) in want.items() if k is not None and v}
+
+
+def test_ordinal_follows_the_order(spark):
+    df = spark.range(3000).selectExpr("(id * 7919) % 3001 as a", "cast(id % 3 as string) as b").repartition(6)
+    out = ordering.with_ordinal(df, "o", "b", "a").orderBy("o").collect()
+    assert [(r.b, r.a) for r in out] == sorted((r.b, r.a) for r in out) and len({r.o for r in out}) == 3000
+
+
+@pytest.mark.parametrize("error", [1e-4, 0.02, 0.3])
+def test_quantiles_do_not_depend_on_the_sketch(spark, error):
+    rng = random.Random(9)
+    values = [rng.choice([5.0, 5.0, rng.gauss(0, 10), None, float("nan"), -0.0]) for _ in range(3000)]
+    df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(values)], "a double, b double").repartition(5)
+    probabilities = (0.0, 0.01, 0.25, 0.5, 0.75, 1.0)
+    known = sorted(v for v in values if v is not None and v == v)
+    got = {(r.column, r.probability): r.value for r in quantiles.exact_quantiles(df, ["a", "b"], probabilities, error=error).collect()}
+    for p in probabilities:
+        assert got["a", p] == pytest.approx(np.percentile(known, 100 * p))
+        assert got["b", p] == pytest.approx(np.percentile(range(3000), 100 * p))
+
+
+def test_a_rank_outside_its_bracket_is_found_all_the_same(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("cast(id as double) as a")
+    monkeypatch.setattr(quantiles, "_brackets", lambda *_: {"a": [(10.0, 20.0), (900.0, 901.0)]})
+    got = {r.probability: r.value for r in quantiles.exact_quantiles(df, ["a"], (0.25, 0.5)).collect()}
+    assert got == {0.25: 249.75, 0.5: 499.5}
+    assert "outside" not in quantiles.exact_quantiles(df, ["a"], (0.25,)).columns
+
+
+def test_only_values_near_the_wanted_ranks_are_shuffled(spark):
+    df = spark.range(200_000).selectExpr("cast(id as double) as a").repartition(8)
+    brackets = quantiles._brackets(df, ["a"], quantiles.QUARTILES, quantiles.SKETCH_ERROR)
+    assert quantiles._bracketed_counts(df, brackets).count() < 1000
+
+
+def test_distinct_sketch_is_within_its_error(spark):
+    df = spark.range(60_000).selectExpr("id % 20000 as a", "cast(null as string) as b", "'x' as c")
+    got = {r["column"]: r.n_distinct for r in profile.distinct_counts(df, ["a", "b", "c"], error=0.02).collect()}
+    assert abs(got["a"] - 20_000) < 3 * 0.02 * 20_000 and (got["b"], got["c"]) == (0, 1)
+
+
+def test_rows_that_share_a_digest_all_stay(spark, monkeypatch):
+    data = [(1, "a", 0.0), (1, "a", -0.0), (1, None, None), (None, "a", 1.0), (2, "b", float("nan")), (2, "b", float("nan")), (3, "c", 2.0)]
+    df = spark.createDataFrame(data, "i int, t string, x double").repartition(3)
+    assert dedupe.drop_exact_duplicates(df).count() == 5 and dedupe.duplicate_row_count(df).first()[0] == 2
+    monkeypatch.setattr(dedupe, "row_digest", lambda df: F.struct(F.lit(1).cast("bigint").alias("a"), F.lit(2).cast("bigint").alias("b")))
+    assert dedupe.drop_exact_duplicates(df).count() == 5 and dedupe.duplicate_row_count(df).first()[0] == 2
+
+
+def test_digests_tell_which_column_is_null(spark):
+    df = spark.createDataFrame([("x", None), (None, "x"), ("x", None)], "a string, b string")
+    assert df.select(dedupe.row_digest(df)).distinct().count() == 2
+    assert dedupe.drop_exact_duplicates(df).count() == 2
+    nested = spark.sql("select map('a', 1) as m")
+    assert dedupe.row_digest(nested) is None
+    once = spark.range(5).selectExpr("id", "array(cast(0.0 as double)) as x")
+    assert dedupe.drop_exact_duplicates(once).count() == 5 and dedupe.duplicate_row_count(spark.range(3)).first()[0] == 0
+
+
+def test_digests_are_what_is_shuffled_of_wide_rows(spark):
+    wide = spark.range(2000).selectExpr("id", *[f"repeat(cast(id as string), 50) as c{i}" for i in range(10)])
+    once, again = dedupe._parted(wide, dedupe.row_digest(wide))
+    assert again is None and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quarantine_agrees_with_the_counts(spark):
+    df = spark.createDataFrame([(1, 5.0, "a"), (2, 50.0, "z"), (None, None, "a"), (4, 1.0, None)], "i int, x double, t string")
+    rules_of = [
+        checks.expect_not_null("i"), checks.expect_between("x", 0, 10), checks.expect_in_set("t", ["a", "b"]),
+        checks.expect_within("x", F.lit(4.0), 2.0, F.col("i") > 1),
+    ]
+    found = checks.quarantine(df, rules_of)
+    assert rows(found.counts) == rows(checks.check_expectations(df, rules_of))
+    assert [tuple(r) for r in found.accepted.collect()] == [(1, 5.0, "a")]
+    reasons = {(r.i, r.t): r.reasons for r in found.rejected.collect()}
+    assert reasons == {
+        (2, "z"): ["between(x)", "in_set(t)", "within_threshold(x)"], (None, "a"): ["not_null(i)", "between(x)"],
+        (4, None): ["in_set(t)", "within_threshold(x)"],
+    }
+    empty = checks.quarantine(df.filter("false"), rules_of)
+    assert rows(empty.counts) == rows(checks.check_expectations(df.filter("false"), rules_of))
+    with pytest.raises(ValueError):
+        checks.quarantine(df, rules_of * 20)
+
+
+def test_foreign_keys_of_several_types_in_one_pass(spark):
+    fact = spark.createDataFrame([(1, "a"), (1, "b"), (9, "a"), (None, None), (9, "zz")], "i long, t string")
+    dims = {"i": spark.createDataFrame([(1,)], "i long"), "t": spark.createDataFrame([("a",), ("b",)], "t string")}
+    found = checks.foreign_key_orphans(fact, dims)
+    assert {tuple(r) for r in found.collect()} == {("i", "9", 2), ("i", None, 1), ("t", "zz", 1), ("t", None, 1)}
+
+
+def test_a_report_scans_its_table_three_times(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(300).selectExpr("id", "id % 7 as k", "cast(id % 3 as string) as t", "date'2024-01-01' as d").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = profile.extract_report(df, "id")  # one scan into the frequency table, one into the digests
+    scans = {part: plan(table).count(f"[file:{path}") for part, table in report.items()}
+    assert {part for part, n in scans.items() if n} == {"preview"} and scans["preview"] == 1
+    assert {r["column"]: r.n_distinct for r in report["distinct"].collect()} == {"k": 7, "t": 3, "d": 1}
+    assert rows(report["schema"]) == rows(profile.schema_profile(df.drop("id")))
+    assert rows(report["missing"]) == rows(profile.missing_profile(df.drop("id")))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
