@@ -415,6 +415,7 @@ _EXPECT = [
     ("within_threshold", "Transaction_Amount", _REGULAR,
      f"coalesce(abs(Transaction_Amount - {_EXACT}) > 1, false)"),
 ]
+_ANY_BROKEN = " or ".join(f"({applies} and {failed})" for _, _, applies, failed in _EXPECT)
 
 # Promised columns and keys: published name, and where this file has them.
 _PROMISED_A = [
@@ -722,9 +723,50 @@ ORACLE: dict[str, str] = {
         "(select count(*) as n from nation union all select count(*) from region)"
     ),
     "load_star_roundtrip": warehouse(
-        "select p.category, count(*) as n_rows, sum(quantity)::bigint as total_quantity "
+        "select p.category, count(*) as n_rows, sum(quantity)::bigint as total_quantity, "
+        "(select count(*) from fact where unit_price is null) as n_left_out "
         "from fact join prod p using (product_id) where unit_price is not null group by p.category"
     ),
+    "publish_roundtrip": (
+        "with n as (select 'nation' as table_name, n_regionkey as r from nation union all select 'region', r_regionkey from region) "
+        "select step, table_name, count(*) as n_rows from n, (values ('1 loaded', 99), ('2 refused', 99), ('3 written', 99), "
+        "('4 published', 3)) as s(step, below) where r < below group by all"
+    ),
+    "append_dimensions": warehouse(_union([
+        f"select '{t}' as table_name, count(distinct {k}) as n_rows, count(distinct {k}) as n_ids, "
+        f"count(distinct {k}) filter (month(order_date) <= 6) as n_unchanged from {source}"
+        for t, k, source in (
+            ("dim_customer", "email_key", "clean"), ("dim_product", "product_key", "clean"), ("dim_date", "order_date", "clean"),
+            ("fact_sales", "order_id", "(select * from clean where unit_price is not null)"),
+        )
+    ])),
+    "scan_stray_quotes": (
+        "select cast(o_orderkey as varchar) as key, case o_orderkey % 3 when 0 then 'pipe 5\" wide' when 1 then 'a \"b\", c' "
+        "else o_orderpriority end as name, cast(o_custkey as varchar) as customer from orders"
+    ),
+    "scan_in_order": "select cast(n_nationkey as varchar) as key, n_name as name, true as alone from nation",
+    "expectation_rejects": quality(
+        "select * from (select Transaction_ID, concat_ws(';', "
+        + ", ".join(f"case when {applies} and {failed} then '{rule}({c})' end" for rule, c, applies, failed in _EXPECT)
+        + ") as reasons from final) where reasons <> ''"
+    ),
+    "expectation_counts": quality(_union([
+        f"select '{rule}' as rule, '{c}' as \"column\", count(*) filter ({applies}) as n_checked, "
+        f"count(*) filter ({applies} and {failed}) as n_failed, count(*) filter ({applies} and {failed}) = 0 as passed, "
+        f"count(*) filter (not coalesce({_ANY_BROKEN}, false)) as n_accepted from final"
+        for rule, c, applies, failed in _EXPECT
+    ])),
+    "extract_report": ecom(_union([
+        f"select '{c}' as \"column\", '{_TYPES_C[c]}' as dtype, count(*) as n_rows, count({c}) as non_null_count, "
+        f"count(*) - count({c}) as missing_count, count(distinct {c}) as n_distinct, "
+        + (
+            "cast(null as varchar) as top, cast(null as bigint) as freq, " if _TYPES_C[c] in ("bigint", "double", "int") else
+            f"(select cast({c} as varchar) from t where {c} is not null group by {c} order by count(*) desc, cast({c} as varchar) limit 1) as top, "
+            f"(select count(*) from t where {c} is not null group by {c} order by count(*) desc limit 1) as freq, "
+        )
+        + "(select count(*) from t) - (select count(*) from (select distinct * from t)) as duplicate_rows from t"
+        for c in columns_of("ecom")
+    ])),
     "export_roundtrip": quality(
         "select Transaction_ID, Customer_Email, Province, Gender, Payment_Method, Order_Date, Order_Status from final"
     ),

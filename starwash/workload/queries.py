@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from starwash.functions import dates, numeric, rules, text
 from starwash.operators import checks, dedupe, fill, ordering, outliers, profile, quantiles, star
 from starwash.plans import order_quality as quality, order_warehouse as warehouse, reports, retail_sales as retail
 from starwash.sources.csv import REJECT, scan_csv, split_rejects, write_csv
+from starwash.sources.publish import warehouse_of
 from starwash.sources.staging import stage, staged_path
 from starwash.sources.tables import write_table
 from starwash.workload.views import columns_of, dirty
@@ -77,6 +78,26 @@ def csv_rejects(spark, sf):
     return bad.groupBy((key % 10).alias("last_digit")).agg(F.count(F.lit(1)).alias("n_bad"))
 
 
+@query
+def scan_stray_quotes(spark, sf):
+    """Orders written as lines: a quote inside a plain field, a quoted field with a comma and quotes, a plain one."""
+    path, third = staged_path(spark), F.col("o_orderkey") % 3
+    text_of = F.when(third == 0, 'pipe 5" wide').when(third == 1, '"a ""b"", c"').otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws(",", F.col("o_orderkey"), text_of, F.col("o_custkey"))
+    _table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    return scan_csv(spark, path, ["key", "name", "customer"], header=False)
+
+
+@query
+def scan_in_order(spark, sf):
+    """Lines of several files with an ordinal, which no two share."""
+    path = staged_path(spark)
+    nations = _table(spark, sf, "nation").select(F.concat_ws(",", "n_nationkey", "n_name").alias("value"))
+    nations.repartition(3, "value").write.text(path)
+    rows = scan_csv(spark, path, ["key", "name"], order_column=ORD, header=False)
+    return rows.select("key", "name", (F.count(ORD).over(W.partitionBy(ORD)) == 1).alias("alone"))
+
+
 @query
 def clean_orders_from_csv(spark, sf):
     """The whole quality chain, from CSV."""
@@ -326,10 +347,10 @@ def fill_region(spark, sf):
 
 @query
 def group_ffill_bfill(spark, sf):
-    raw = _sales(spark, sf, "Sale_ID", "Product_Name", "Category", order=True)
+    raw = dirty(spark, sf, "sales", ["Sale_ID", "Product_Name", "Category"], ORD, keep=["l_partkey"])
     keyed = raw.withColumn("product_key", text.normalize_key(text.strip(F.col("Product_Name"))))
     filled = ordering.fill_within_group(keyed, "product_key", "Category", ORD)
-    return filled.select("Sale_ID", "product_key", "Category", F.col(f"{ORD}.l_partkey").alias("l_partkey"))
+    return filled.select("Sale_ID", "product_key", "Category", "l_partkey")
 
 
 @query
@@ -337,6 +358,21 @@ def expectations(spark, sf):
     return checks.check_expectations(quality.clean(_ecom(spark, sf)), quality.expectations())
 
 
+@query
+def expectation_rejects(spark, sf):
+    """Orders that break a rule, with all rules they break."""
+    found = checks.quarantine(quality.clean(_ecom(spark, sf)), quality.expectations())
+    return found.rejected.select("Transaction_ID", F.array_join("reasons", ";").alias("reasons"))
+
+
+@query
+def expectation_counts(spark, sf):
+    """The counts of all rules from the masks of the rows, beside how many rows meet all of them."""
+    found = checks.quarantine(quality.clean(_ecom(spark, sf)), quality.expectations())
+    accepted = F.lit(found.accepted.count()).cast("bigint")
+    return found.counts.withColumn("n_accepted", accepted)
+
+
 # --- profiling ---------------------------------------------------------------------------------
 
 
@@ -370,6 +406,21 @@ def profile_describe(spark, sf):
     return _rounded(profile.describe_all(_ecom(spark, sf)))
 
 
+@query
+def extract_report(spark, sf):
+    """Schema, missing values, distinct values and copies of the raw table, all of one report."""
+    report = profile.extract_report(_ecom(spark, sf))
+    copies = F.lit(report["duplicates"].first().duplicate_rows).cast("bigint")
+    return (
+        report["schema"].join(report["missing"], "column", "left").join(report["distinct"], "column")
+        .join(report["describe"].select("column", "top", "freq"), "column")
+        .select(
+            "column", "dtype", "n_rows", "non_null_count", F.coalesce("missing_count", F.lit(0)).alias("missing_count"),
+            "n_distinct", "top", "freq", copies.alias("duplicate_rows"),
+        )
+    )
+
+
 @query
 def value_counts(spark, sf):
     return profile.value_counts(_ecom(spark, sf, "Gender"), "Gender")
@@ -657,14 +708,74 @@ def load_star_roundtrip(spark, sf):
     """The warehouse loaded as tables under all its constraints, then read back by SQL."""
     name, built = _database(spark), _star(spark, sf)
     # Orders whose price could not be read break a constraint of the fact; the load refuses them.
-    built["fact_sales"] = built["fact_sales"].dropna(subset=warehouse.FACT)
-    warehouse.load_star(spark, built, name)
+    fact = stage(built["fact_sales"])
+    built["fact_sales"] = fact.dropna(subset=warehouse.FACT)
+    loaded = warehouse.load_star(spark, built, name)
     return spark.sql(
-        f"select p.category, count(*) as n_rows, sum(quantity) as total_quantity from {name}.fact_sales "
+        f"select p.category, count(*) as n_rows, sum(quantity) as total_quantity, "
+        f"{fact.count() - loaded['fact_sales']}L as n_left_out from {name}.fact_sales "
         f"join {name}.dim_product p using (product_id) group by p.category"
     )
 
 
+@query
+def publish_roundtrip(spark, sf):
+    """What the catalog holds after a first load, one that a check refuses, one stopped before and one after the
+    switch, and the recovery of the last."""
+    name = _database(spark)
+    target = warehouse_of(spark, name)
+    nations, regions = _table(spark, sf, "nation"), _table(spark, sf, "region")
+    steps = []
+
+    def seen(step: str) -> None:
+        held = [spark.table(f"{name}.{t}").select(F.lit(t).alias("table_name")) for t in ("nation", "region")]
+        counts = reduce(DataFrame.unionByName, held).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        steps.append(stage(counts.select(F.lit(step).alias("step"), "table_name", "n_rows")))
+
+    def refuse(tables) -> None:
+        raise checks.ValidationError("refused")
+
+    target.publish({"nation": nations, "region": regions})
+    seen("1 loaded")
+    try:
+        target.publish({"nation": nations.limit(1), "region": regions.limit(1)}, refuse)
+    except checks.ValidationError:
+        seen("2 refused")
+    small = {"nation": nations.filter("n_regionkey < 3"), "region": regions.filter("r_regionkey < 3")}
+    written = target.write(small)
+    seen("3 written")
+    target.switch(written)
+    target.recover()
+    seen("4 published")
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query
+def append_dimensions(spark, sf):
+    """The warehouse of the orders of January to June, then those of July to December appended twice."""
+    orders, name = _clean_orders(spark, sf), _database(spark)
+    early = F.month("order_date") <= 6
+
+    def star_of(part: DataFrame) -> dict[str, DataFrame]:
+        dimensions = warehouse.build_dimensions(part, ORD)
+        fact = warehouse.fact_sales(part, dimensions).dropna(subset=warehouse.FACT)
+        return {**dimensions, "fact_sales": stage(fact)}
+
+    later = star_of(orders.filter(~early))
+    warehouse.load_star(spark, star_of(orders.filter(early)), name)
+    before = {t: stage(spark.table(f"{name}.{t}")) for t in warehouse.WAREHOUSE}
+    for _ in range(2):
+        warehouse.append_star(spark, later, name)
+    out = []
+    for t, old in before.items():
+        stored, id_column = spark.table(f"{name}.{t}"), spark.table(f"{name}.{t}").columns[0]
+        unchanged = old.join(stored, [old[c].eqNullSafe(stored[c]) for c in old.columns], "left_semi").count()
+        out.append(stored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(id_column).alias("n_ids")).select(
+            F.lit(t).alias("table_name"), "n_rows", "n_ids", F.lit(unchanged).cast("bigint").alias("n_unchanged")
+        ))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def export_roundtrip(spark, sf):
     """The cleaned orders and their report exported as CSV, the orders scanned back."""
