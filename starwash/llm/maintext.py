@@ -172,7 +172,7 @@ def densities(parent: list[int], chars: list[int], links: list[bool], body: int)
         if not c[i]:
             out.append(0.0)
             continue
-        base = math.log(c[i] / max(1, c[i] - lc[i]) * lc[i] + linked * c[i] + math.e)
+        base = math.log(c[i] / max(1, c[i] - lc[i]) * max(1, lc[i]) + linked * c[i] + math.e)
         ratio = c[i] / max(1, lc[i]) * max(1, t[i]) / max(1, lt[i])
         out.append(c[i] / max(1, t[i]) * math.log(ratio) / math.log(base))
     return out
