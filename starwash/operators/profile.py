@@ -99,8 +99,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, value, number, n)``, staged: how often each value of each column occurs, nulls included.
 
-    One pass over ``df``. ``value`` is the text of a value; ``number`` the value of a numeric column, the micros
-    since 1970 of a date or timestamp, else null. NaN is missing and -0.0 is 0.0. Everything a profile says of single
+    One pass over ``df``. ``number`` is the value of a numeric column, the micros since 1970 of a date or timestamp,
+    else null; ``value`` the text of a value that ``number`` may not hold exactly. Both are null for a missing one. NaN is missing and -0.0 is 0.0. Everything a profile says of single
     columns follows from this table. Equal values collapse map-side; a column of unique values moves once.
     """
     types = dict(df.dtypes)
@@ -113,7 +113,8 @@ def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         number = present.cast("double") if _is_numeric(t) else F.lit(None).cast("double")
         if t in DATES:
             number = F.unix_micros(present.cast("timestamp")).cast("double")
-        cells.append(F.struct(F.lit(c).alias("column"), present.cast("string").alias("value"), number.alias("number")))
+        text = F.lit(None).cast("string") if t in EXACT else present.cast("string")
+        cells.append(F.struct(F.lit(c).alias("column"), text.alias("value"), number.alias("number")))
     if not cells:
         return df.sparkSession.createDataFrame([], "column string, value string, number double, n bigint")
     long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
@@ -121,6 +122,9 @@ def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 DATES = ("date", "timestamp", "timestamp_ntz")
+#: Types whose values are doubles without loss.
+EXACT = ("tinyint", "smallint", "int", "float", "double")
+KNOWN = "(value is not null or number is not null)"
 
 
 def _is_numeric(type_name: str) -> bool:
@@ -227,7 +231,7 @@ def extract_report(df: DataFrame, order: str | None = None) -> dict[str, DataFra
         "schema": _schema(totals, len(data.columns)),
         "missing": _missing(totals),
         "distinct": _listed(counted, data.columns).join(
-            counted.filter("value is not null").groupBy("column").agg(F.count(F.lit(1)).alias("n")), "column", "left"
+            counted.filter(KNOWN).groupBy("column").agg(F.count(F.lit(1)).alias("n")), "column", "left"
         ).select("column", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_distinct")),
         "duplicates": duplicate_row_count(data),
         "describe": _described_all(counted, data.dtypes),
@@ -248,6 +252,6 @@ def _missing_of(counted: DataFrame, dtypes: Sequence[tuple[str, str]]) -> DataFr
     ])
     listed = counted.sparkSession.range(1).select(F.inline(names))
     sums = counted.groupBy("column").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing_count"), F.sum("n").alias("n_rows")
+        F.sum(F.when(~F.expr(KNOWN), F.col("n")).otherwise(0)).alias("missing_count"), F.sum("n").alias("n_rows")
     )
     return listed.join(sums, "column", "left").fillna(0, ["missing_count", "n_rows"])
