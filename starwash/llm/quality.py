@@ -131,6 +131,24 @@ class Forest:
         return self.scores(x) > self.threshold
 
 
+#: Columns of ``features`` that a forest sees: what texts are made of, and what they repeat. Repetition varies widely
+#: among good texts; in one forest with the others it would take a share of all splits and hide what is odd in them.
+KINDS = ((0, 1, 2, 3), (4, 5))
+
+
+@dataclass(frozen=True)
+class Forests:
+    """A forest for each of KINDS, each with its own threshold; a text is odd if one of them says so."""
+
+    parts: tuple[Forest, ...]
+
+    def odd(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), dtype=bool)
+        for columns, forest in zip(KINDS, self.parts):
+            out |= forest.odd(x[:, columns])
+        return out
+
+
 def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
     """Each tree splits its own ``rows`` rows of ``x`` at random values of random features."""
     rng = np.random.default_rng(seed)
@@ -181,16 +199,20 @@ def calibrated(forest: Forest, counts: np.ndarray, max_clean_loss: float = MAX_C
     return Forest(**{**forest.__dict__, "threshold": best})
 
 
-def _score_counts(labelled: DataFrame, forest: Forest) -> np.ndarray:
-    """(score, good rows, bad rows) of all rows (STATISTICS, good), scores rounded to SCORE_DIGITS, ascending."""
+def _score_counts(labelled: DataFrame, forest: Forest, kind: int, earlier: Forests) -> np.ndarray:
+    """(score, good rows, bad rows) of the rows (STATISTICS, good) that no earlier forest finds odd, scores rounded to
+    SCORE_DIGITS, ascending."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for rows in batches:
-            yield pd.Series(forest.scores(features(rows[STATISTICS].to_numpy(dtype=float))).round(SCORE_DIGITS))
+            x = features(rows[STATISTICS].to_numpy(dtype=float))
+            scores = forest.scores(x[:, KINDS[kind]]).round(SCORE_DIGITS)
+            yield pd.Series(np.where(earlier.odd(x), np.nan, scores))
 
     good = F.col("good") > 0
-    counts = labelled.select(score(F.struct(*STATISTICS)).alias("score"), good.alias("is_good")).groupBy("score").agg(
+    scored = labelled.select(score(F.struct(*STATISTICS)).alias("score"), good.alias("is_good"))
+    counts = scored.filter("score is not null and not isnan(score)").groupBy("score").agg(
         F.count_if("is_good").alias("n_good"), F.count_if(~F.col("is_good")).alias("n_bad")
     )
     return counts.orderBy("score").toPandas().to_numpy(dtype=float).reshape(-1, 3)
@@ -200,25 +222,34 @@ def _sample(df: DataFrame, columns: list[str], rows: int) -> np.ndarray:
     return bounded_sample(df.select("doc_id", *columns), rows).select(*columns).toPandas().to_numpy(dtype=float)
 
 
-def train(stats: DataFrame, labels: DataFrame) -> Forest:
+def train(stats: DataFrame, labels: DataFrame) -> Forests:
     """Fit on ``stats`` (doc_id and STATISTICS), calibrate on the rows that ``labels`` (doc_id, quality) covers.
 
-    What reaches the driver is bounded: SAMPLE_ROWS rows for the trees, and a count for each rounded score of all
-    labelled rows, both of texts that pass the base rules. Labels of null id or quality are ignored; a document with
-    several labels counts once with the lowest.
+    The first forest may lose MAX_CLEAN_LOSS of the good rows, the next what the ones before left of it. What reaches
+    the driver is bounded: SAMPLE_ROWS rows for the trees, and a count for each rounded score of all labelled rows,
+    both of texts that pass the base rules. Labels of null id or quality are ignored; a document with several labels
+    counts once with the lowest.
     """
     passed = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    forest = grow(features(_sample(passed, STATISTICS, SAMPLE_ROWS).reshape(-1, len(STATISTICS))))
+    sample = features(_sample(passed, STATISTICS, SAMPLE_ROWS).reshape(-1, len(STATISTICS)))
     known = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("double").alias("good"))
     )
-    labelled = passed.join(known, "doc_id").select("doc_id", *STATISTICS, "good").distinct()
-    return calibrated(forest, _score_counts(labelled, forest))
-
-
-def kept(forest: Forest, stats: np.ndarray) -> np.ndarray:
+    labelled = stage(passed.join(known, "doc_id").select("doc_id", *STATISTICS, "good").distinct())
+    forests, left = Forests(()), MAX_CLEAN_LOSS
+    for kind, columns in enumerate(KINDS):
+        forest = grow(sample[:, columns])
+        counts = _score_counts(labelled, forest, kind, forests)
+        forest = calibrated(forest, counts, left)
+        if len(counts) and counts[:, 1].sum():
+            left -= counts[counts[:, 0] > forest.threshold, 1].sum() / counts[:, 1].sum()
+        forests = Forests((*forests.parts, forest))
+    return forests
+
+
+def kept(forest: Forests, stats: np.ndarray) -> np.ndarray:
     """The text of these statistics passes the base rules and is not odd."""
     failed = (stats[:, 0] < MIN_WORDS) | (stats[:, 4] * 100 > stats[:, 0] * MAX_REPEAT_PERCENT)
     return ~failed & ~forest.odd(features(stats))
@@ -232,8 +263,9 @@ def _staged_statistics(docs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, STATISTICS, base_failed, kept) for every row of ``docs``.
 
-    A null or empty text has no words and fails the base rules. Repeated rows are judged alike, an empty
-    table gives an empty result; without usable labels only the base rules reject.
+    A null or empty text has no words and fails the base rules; a very long one is counted whole. Repeated rows are
+    judged alike, an empty table gives an empty result; without usable labels only the base rules reject. Other
+    columns, whatever their names, are left out.
     """
     stats = _staged_statistics(docs)
     forest = train(stats, labels)
@@ -253,15 +285,16 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all their columns, that ``judge`` keeps.
 
-    The statistics are computed once to train and once more where the rows are filtered: two scans move
-    nothing, where carrying the texts along would write them a second time.
+    Each row is staged once beside its statistics, so that the texts are counted once to train and to filter. A null,
+    empty or very long text is judged as any other, whole; repeated rows share their fate; column names may be those
+    used here; an empty table stays empty.
     """
-    forest = train(_staged_statistics(docs), labels)
+    rows = stage(wrapped(docs, doc_id=F.col("doc_id").cast("long"), s=rule_statistics()))
+    forest = train(rows.select("doc_id", "s.*"), labels)
 
     @F.pandas_udf("boolean")
-    def verdict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            stats = np.array([statistics_of(t) for t in texts], dtype=float).reshape(-1, len(STATISTICS))
-            yield pd.Series(kept(forest, stats), dtype=bool)
+    def verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for stats in batches:
+            yield pd.Series(kept(forest, stats[STATISTICS].to_numpy(dtype=float)), dtype=bool)
 
-    return unwrapped(wrapped(docs, t=text_bytes()).filter(verdict("t")))
+    return unwrapped(rows.filter(verdict("s")))

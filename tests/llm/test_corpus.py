@@ -300,13 +300,15 @@ def plain_kept(forest, docs):
         upper = sum("A" <= c <= "Z" for c in text or "")
         w, n = max(1, words), max(1, chars)
         x = [chars / w, *(np.log1p(100 * a / b) for a, b in ((symbols, w), (marks, n), (upper, n), (dup, w), (again, w)))]
-        total = 0.0
-        for t in range(len(forest.feature)):
-            at = 0
-            while forest.low[t, at] != at:
-                at = (forest.low if x[forest.feature[t, at]] < forest.split[t, at] else forest.high)[t, at]
-            total += forest.path[t, at]
-        odd = len(forest.feature) and 2 ** (-total / len(forest.feature) / forest.norm) > forest.threshold
+        odd = False
+        for columns, part in zip(quality.KINDS, forest.parts):
+            own, total = [x[c] for c in columns], 0.0
+            for t in range(len(part.feature)):
+                at = 0
+                while part.low[t, at] != at:
+                    at = (part.low if own[part.feature[t, at]] < part.split[t, at] else part.high)[t, at]
+                total += part.path[t, at]
+            odd = odd or bool(len(part.feature) and 2 ** (-total / len(part.feature) / max(part.norm, 1e-9)) > part.threshold)
         if words >= 50 and 100 * again <= 50 * words and not odd:
             out.append(doc)
     return sorted(out)
