@@ -50,16 +50,18 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
         discard(spark, folder)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
+    ``row_group_bytes`` bounds what a writing task holds in memory, for tables of long texts.
+
     Consumers start from columnar files, so a lost executor costs no recomputation of what led here,
     column pruning applies again, and the planner knows the true size: a later join broadcasts a
     staged side only when it is under ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
     path = staged_path(spark)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group_bytes) if row_group_bytes else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
