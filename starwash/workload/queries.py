@@ -682,25 +682,36 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
+def _closed(spark: SparkSession, database: str, result: DataFrame) -> DataFrame:
+    """``result`` staged, and the database it came from dropped, so that the catalog is as before."""
+    result = stage(result)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
+
+
 @query
 def write_replace(spark, sf):
     """Customers replace the nations that a table held before."""
-    name = f"{_database(spark)}.customers"
+    database = _database(spark)
+    name = f"{database}.customers"
     write_table(_table(spark, sf, "nation"), name, mode="overwrite")
     write_table(_table(spark, sf, "customer"), name, mode="overwrite")
-    return spark.table(name).groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    counts = spark.table(name).groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    return _closed(spark, database, counts)
 
 
 @query
 def write_append_counts(spark, sf):
     """What each append reports, beside what the table holds after both."""
-    name = f"{_database(spark)}.names"
+    database = _database(spark)
+    name = f"{database}.names"
     written = [
         write_table(_table(spark, sf, t).select(F.col(c).alias("name")), name)
         for t, c in (("nation", "n_name"), ("region", "r_name"))
     ]
     total = spark.table(name).agg(F.count(F.lit(1)).alias("total"))
-    return total.select(F.explode(F.array(*[F.lit(n).cast("bigint") for n in written])).alias("n"), "total")
+    counts = total.select(F.explode(F.array(*[F.lit(n).cast("bigint") for n in written])).alias("n"), "total")
+    return _closed(spark, database, counts)
 
 
 @query
@@ -711,11 +722,11 @@ def load_star_roundtrip(spark, sf):
     fact = stage(built["fact_sales"])
     built["fact_sales"] = fact.dropna(subset=warehouse.FACT)
     loaded = warehouse.load_star(spark, built, name)
-    return spark.sql(
+    return _closed(spark, name, spark.sql(
         f"select p.category, count(*) as n_rows, sum(quantity) as total_quantity, "
         f"{fact.count() - loaded['fact_sales']}L as n_left_out from {name}.fact_sales "
         f"join {name}.dim_product p using (product_id) group by p.category"
-    )
+    ))
 
 
 @query
@@ -747,7 +758,7 @@ def publish_roundtrip(spark, sf):
     target.switch(written)
     target.recover()
     seen("4 published")
-    return reduce(DataFrame.unionByName, steps)
+    return _closed(spark, name, reduce(DataFrame.unionByName, steps))
 
 
 @query
@@ -773,7 +784,7 @@ def append_dimensions(spark, sf):
         out.append(stored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(id_column).alias("n_ids")).select(
             F.lit(t).alias("table_name"), "n_rows", "n_ids", F.lit(unchanged).cast("bigint").alias("n_unchanged")
         ))
-    return reduce(DataFrame.unionByName, out)
+    return _closed(spark, name, reduce(DataFrame.unionByName, out))
 
 
 @query
