@@ -56,7 +56,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.judge_urls(pages, urls.labelled_by_rules(pages))
+    return urls.judge_urls(pages, urls.labelled_urls(spark))
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

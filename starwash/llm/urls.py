@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starwash.llm.common import bounded_sample
 
@@ -22,6 +23,28 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
+#: Words of hosts and paths that the labelled table is made of.
+UNWANTED = (
+    "ads adserver adult bets betting bingo bonus-win casino cheap-meds clickbait crack cracked dating-hot doubleclick "
+    "escort fake-watches free-bets free-iphone gamble gambling get-rich hookup jackpot keygen lottery loan-fast lucky "
+    "malware meds nude payday pills phishing pokies popads poker porn prize replica roulette sex slots spam spyware "
+    "sweepstakes torrent-crack track tracker tracking traffic-exchange viagra warez webcam-girls win-big win xxx"
+).split()
+FILLERS = "cheap farm fast free hot now online x zone club best 24 365 top real".split()
+WANTED = (
+    "academy archive art astronomy bakery bank biology blog books botany bridge chemistry choir church city clinic "
+    "college community cooking council data docs economy education energy farmer festival forest forum garden gazette "
+    "geology guide harbour health help history hospital journal kitchen language law library local magazine maths "
+    "medicine museum music nature news observatory open opera orchestra parks physics planet poetry post press "
+    "project radio railway recipes research review river school science society software sports story studio teacher "
+    "theatre times tools town travel trees union university valley village water weather wiki winery women work world"
+).split()
+SYLLABLES = (
+    "an ar as at be ble ca ch ci co da de di do ed el en er es et ge ha he ho in ing io is it ke la le li lo ly ma me "
+    "mo na ne nd no nt on or ou pa pe ra re ri ro sa se sh si so st ta te th ti tion to tra tu un ur us ve vi wa wh wi"
+).split()
+LABELLED_URLS = 4000
+
 DIMENSIONS = 1 << 16
 GRAM_LENGTHS = (3, 4, 5)
 MAX_LABELLED = 4000
@@ -43,7 +66,7 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     ``rules`` is a literal list, so it becomes one chain of conditions. Equally long rules: the first.
     """
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for decision, rule_host, rule_path in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    for decision, rule_host, rule_path in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         fits = ((host == rule_host) | host.endswith(f".{rule_host}")) & path.startswith(rule_path)
         name = F.when(fits, rule_host + rule_path).otherwise(name)
         verdict = F.when(fits, decision).otherwise(verdict)
@@ -129,8 +152,9 @@ def judge_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of ``pages``; the rule decides, else the model.
 
-    Every input row gives one output row, repeated rows too; other columns are left out. A null url and one
-    without ``://`` have an empty host and path, fit no rule and are judged by the model's bias.
+    Every input row gives one output row, repeated rows too; other columns, whatever their names, are left out. A null
+    url and one without ``://`` have an empty host and path, fit no rule and are judged by the model's bias. A very
+    long url is judged whole.
     """
     model = train(labelled)
     host, path = host_and_path(F.col("url"))
@@ -148,7 +172,37 @@ def judge_urls(
     )
 
 
+def labelled_urls(spark: SparkSession, rows: int = LABELLED_URLS, seed: int = 5) -> DataFrame:
+    """(url, blocked): the small labelled table that the model learns from, made by a rule from two word lists.
+
+    Hosts of both classes have the same subdomains, endings and paths, so only the words of host and path tell them
+    apart: a blocked url has one or two words of UNWANTED in its host, at times one in its path, an allowed one words
+    of WANTED or made-up names of syllables, and may have one harmless piece of an unwanted word inside a name.
+    """
+    rng = random.Random(seed)
+
+    def name() -> str:
+        made_up = "".join(rng.choice(SYLLABLES) for _ in range(rng.randint(2, 4)))
+        return rng.choice([made_up, made_up, rng.choice(WANTED), rng.choice(WANTED) + rng.choice(["-", "", "-"]) + made_up])
+
+    def unwanted() -> str:
+        words = [rng.choice(UNWANTED), rng.choice([rng.choice(UNWANTED), rng.choice(FILLERS), name(), ""])]
+        rng.shuffle(words)
+        return rng.choice(["-", "", "-"]).join(w for w in words if w)
+
+    out = []
+    for i in range(rows):
+        blocked = i % 2 == 0
+        host = f"{rng.choice(['', '', 'www.', 'm.', 'blog.', 'shop.'])}{unwanted() if blocked else name()}"
+        ending = rng.choice(["com", "org", "net", "info", "example.com", "example.org", "example.net"])
+        words = [rng.choice(["en", "de", "fr", "es", "it", "post", "p", "a"])]
+        words += [rng.choice(UNWANTED if blocked else WANTED)] * (rng.random() < 0.3)
+        path = "/".join([*words, str(rng.randint(0, 9999))]) + rng.choice(["", "/", ".html", "?page=2", "#top"])
+        out.append((f"{rng.choice(['http', 'https'])}://{host}.{ending}/{path}", blocked))
+    return spark.createDataFrame(out, "url string, blocked boolean")
+
+
 def labelled_by_rules(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    """Urls a rule decides, as labelled rows for ``train``."""
+    """Urls a rule decides, as labelled rows for ``train``, for lists of rules that cover both classes everywhere."""
     _, decision = matching_rule(*host_and_path(F.col("url")), rules)
     return pages.select("url", (decision == "block").alias("blocked")).filter("blocked is not null")

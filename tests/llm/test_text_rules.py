@@ -251,6 +251,43 @@ def test_regression_learns_held_out_urls():
     assert np.array_equal(model.weights, again.weights)
 
 
+def _hosts_paths(rows):
+    return [plain_url(u)[0] for u in rows], [plain_url(u)[1] for u in rows]
+
+
+def test_model_of_the_labelled_table_on_held_out_urls(spark):
+    rows = [(r.url, r.blocked) for r in urls.labelled_urls(spark).collect()]
+    assert len(rows) == urls.LABELLED_URLS and rows == [(r.url, r.blocked) for r in urls.labelled_urls(spark).collect()]
+    for fold in range(4):
+        train, test = ([r for i, r in enumerate(rows) if (i // 2 % 4 == fold) is held] for held in (False, True))
+        guessed = urls.fit(*_hosts_paths([u for u, _ in train]), [b for _, b in train]).blocked(*_hosts_paths([u for u, _ in test]))
+        wrong = [(u, b) for (u, b), g in zip(test, guessed) if g != b]
+        assert len(wrong) <= 0.03 * len(test), wrong[:20]
+        assert sum(not b for _, b in wrong) <= 0.01 * len(test), wrong[:20]
+
+
+def test_model_on_the_given_pages(spark):
+    """Hosts of the pages that no rule covers: made-up names stay, names of unwanted things go."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    judged = urls.judge_urls(pages, urls.labelled_urls(spark)).filter("rule is null").collect()
+    unwanted = re.compile("adult|spam|pills|ads-|casino|bets")
+    plain = [r.verdict for r in judged if r.host and not unwanted.search(r.host)]
+    assert len(plain) > 1000 and plain.count("block") <= 0.005 * len(plain)
+    assert {r.verdict for r in judged if unwanted.search(r.host)} == {"block"}
+
+
+def test_equally_long_rules_and_dirty_pages(make):
+    rules = [("block", "com", "/en/"), ("allow", "x.com", "/e"), ("allow", "x.com", "/en/")]
+    long = "http://a.x.com/en/" + "y" * 200_000
+    rows = [(1, "http://x.com/en/1"), (2, "http://x.com/e"), (3, long), (3, long), (None, None)]
+    assert len("com/en/") == len("x.com/e")
+    pages = make(rows, "page_id long, url string").selectExpr("*", "'h' as host", "'p' as path", "'r' as rule", "'v' as verdict")
+    got = {r.page_id: r for r in urls.judge_urls(pages, make([], "url string, blocked boolean"), rules[:2]).collect()}
+    assert (got[1].rule, got[1].verdict, got[2].rule) == ("com/en/", "block", "x.com/e")
+    assert (got[3].rule, len(got[3].path), got[None].rule, got[None].verdict) == ("com/en/", 200_004, None, "allow")
+    assert urls.judge_urls(pages, make([], "url string, blocked boolean"), rules).filter("rule = 'x.com/en/'").count() == 3
+
+
 def test_regression_with_one_class_or_none():
     assert urls.fit(["a"], ["/"], [True]).blocked(["b", ""], ["/", ""]).all()
     assert not urls.fit([], [], []).blocked(["b"], ["/"]).any()
