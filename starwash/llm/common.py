@@ -9,6 +9,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 ROW = "row"
 
+#: Row groups of staged texts: a writing task holds one, beside the Python worker that reads the texts.
+TEXT_GROUP_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
