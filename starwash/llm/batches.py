@@ -24,8 +24,10 @@ from starwash.sources.staging import stage, staged_path
 BATCH_BYTES = 1 << 22
 #: Key partitions for each shuffle partition: several, so that none gets much more than its share.
 PER_TASK = 4
+#: At least so many key partitions that each gets about this many keys, however few shuffle partitions there are.
+KEYS_PER_PART = 4_000_000
 
-BATCH = "batch long, ids binary, sizes binary, texts binary"
+BATCH = "batch long, task long, n_bytes long, ids binary, sizes binary, texts binary"
 NULL_ID = np.iinfo(np.int64).max  # a document without id comes after all others
 
 
@@ -43,11 +45,12 @@ class Batch:
 
 
 def pack(docs: DataFrame) -> DataFrame:
-    """One row per batch (batch, ids, sizes, texts) of ``docs`` (doc_id, text), as a table bucketed by batch.
+    """One row per batch (BATCH) of ``docs`` (doc_id, text), as a table bucketed by the task that writes it.
 
     A batch holds about BATCH_BYTES of text, a longer document is a batch of its own. The table is written
-    by the tasks that read the documents, without a shuffle; because it is bucketed, later joins by batch
-    move the answers, never the texts.
+    by the tasks that read the documents, without a shuffle, one file for each; because it is bucketed, later joins
+    by task move the answers, never the texts. Spark keeps buckets in its catalog only, so the table is entered there
+    and taken out again once it is resolved; its files lie in the shared folder and stay.
     """
     spark = docs.sparkSession
 
@@ -59,10 +62,10 @@ def pack(docs: DataFrame) -> DataFrame:
             ids = np.array([i for i, _ in rows], dtype=np.int64)
             sizes = np.array([len(t) for _, t in rows], dtype=np.int64)
             texts = zstandard.ZstdCompressor(level=1).compress(b"".join(t for _, t in rows))
-            columns = ([number], [ids.tobytes()], [sizes.tobytes()], [texts])
-            types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            columns = ([number], [number >> 32], [int(sizes.sum())], [ids.tobytes()], [sizes.tobytes()], [texts])
+            types = (*[pa.int64()] * 3, *[pa.binary()] * 3)
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["batch", "ids", "sizes", "texts"]
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["batch", "task", "n_bytes", "ids", "sizes", "texts"]
             )
 
         for table in tables:
@@ -80,14 +83,20 @@ def pack(docs: DataFrame) -> DataFrame:
     name = f"batches_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.mapInArrow(build, BATCH).write.format("parquet").bucketBy(buckets, "batch")
+        rows.mapInArrow(build, BATCH).write.format("parquet").bucketBy(buckets, "task")
         .option("path", staged_path(spark)).option("compression", "none").saveAsTable(name)
     )
-    return spark.table(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
-def n_parts(df: DataFrame) -> int:
-    return PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def n_parts(batches: DataFrame, bytes_per_key: float) -> int:
+    """Key partitions for batches that send a key for every ``bytes_per_key`` bytes of text."""
+    n_bytes = batches.agg(F.sum("n_bytes")).first()[0] or 0
+    by_tasks = PER_TASK * int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(by_tasks, -int(-n_bytes // (bytes_per_key * KEYS_PER_PART)))
 
 
 def split(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -188,8 +197,11 @@ def asked_and_answered(batches: DataFrame, ask: Callable, rules: dict, parts: in
     and kind.
     """
     answers = stage(answered(asked(batches, ask, parts), rules))
-    gathered = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "bits")).alias(name))
-    return batches.join(gathered, "batch", "left")
+    gathered = answers.groupBy(F.col("batch").alias("_of")).agg(F.collect_list(F.struct("kind", "part", "bits")).alias(name))
+    gathered = gathered.select(F.shiftright("_of", 32).alias("_task"), "_of", name)
+    # The task is the only key of the join, so that the texts stay in their buckets; the batch is a condition.
+    own = (F.col("task") == F.col("_task")) & (F.col("batch") - F.col("_of") == 0)
+    return batches.join(gathered, own, "left").drop("_task", "_of")
 
 
 def bits_of(answers: list[dict], kind: int, keys: np.ndarray, parts: int) -> np.ndarray:

@@ -112,10 +112,12 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word goes when a window of ``window`` words covers it whose words also start earlier: in a smaller
     doc_id, or earlier in the same document. Null and empty texts have no words. A null doc_id comes after
-    all others; rows that share an id are not earlier than each other; an empty table gives an empty result.
+    all others; rows that share an id are not earlier than each other; an empty table gives an empty result. A very
+    long text is a batch of its own, read whole. Other columns, whatever their names, are left out.
     Windows are compared by 96 bits of hash.
     """
-    block, parts = (window + 1) // 2, n_parts(docs)
+    block, batches = (window + 1) // 2, pack(docs)
+    parts = n_parts(batches, 6)  # a key for every word
 
     def probes(batch: Batch, answers: list) -> Iterator[tuple]:
         yield from _probes(Words(batch), block)
@@ -149,7 +151,6 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
         yield from as_tables(rows(), RESULT, 4096)
 
-    batches = pack(docs)
     batches = asked_and_answered(batches, probes, {PROBE: (_is_hit, "u1")}, parts, "answer1")
     batches = asked_and_answered(batches, repeats, {REPEAT: (in_smaller_document, DOC_AND_CHECK)}, parts, "answer2")
     return batches.mapInArrow(cut, "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string")

@@ -1,19 +1,20 @@
-"""Repeated byte strings: sampled text suffixes in buckets of equal hashes.
-
-This stands in for bucket-pointer refinement and is not that: no bucket is ordered or refined by the bucket names of
-later offsets, and there is no suffix order. Suffixes are put into buckets by their q-gram, and a bucket is split by
-two fixed comparisons of hashes, until members of a bucket agree on ``length`` bytes.
+"""Repeated byte strings by bucket-pointer refinement of sampled text suffixes.
 
 * Sampling. Of the q-grams inside a string of ``length`` bytes one is chosen by a random order on q-grams.
   Equal strings choose the same, so it is enough to sort the suffixes that some string chose, about one in 35.
-* Round 1, depth q: suffixes alone in their q-gram's bucket are settled, nothing else holds such a string.
-* Round 2: the others are refined by the block around them, all strings that chose them. Suffixes whose
-  block starts in a smaller place are settled: all their strings are repeats. So are the first of a block
-  that is the only one of its bucket.
-* Round 3: what is left, the first suffix of each of several blocks in a bucket, is refined string by string.
-
-A bucket is named by the hash of its content, so a name holds in every batch. The names of longer strings are
-made from names already known (prefix sums of the bytes), not read from the text again.
+* Initial buckets, depth q: suffixes are sorted by the bucket of their q-gram. One alone in its bucket is settled,
+  nothing else holds such a string.
+* Refinement by blocks: within a bucket suffixes are sorted by the buckets at later offsets, first those of the
+  block around them, all strings that chose them. Suffixes whose block starts in a smaller place are settled: all
+  their strings are repeats. So are the first of a block that is the only one of its bucket.
+* Refinement by strings: what is left, the first suffix of each of several blocks in a bucket, string by string.
+
+A bucket's identifier at depth 2d is made of the identifiers at depth d of a place and of the place d later, and
+these again of those below, down to the q-gram buckets; a depth in between takes two that overlap. Identifiers are
+64-bit hashes of those pairs and no ranks, so one holds in every batch and no batch has to send its ranks to others
+after each doubling; suffixes of a bucket are sorted by them, which puts equal ones together and is all that finding
+repeats needs. Only buckets with several members are refined. Equal identifiers are checked by a second hash of the
+bytes themselves.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from starwash.llm.hashing import BYTE_VALUES, Windows, mixed
 LENGTH = 100
 Q_GRAM = 32
 SEGMENT = 1 << 18  # strings whose suffixes are chosen at a time
+POSITION_BITS = 19  # of a place in a segment and the string that starts last in it
 
 BUCKET, BLOCK, ALONE, STRING = 0, 1, 2, 3  # kinds of questions
 
@@ -44,9 +46,12 @@ RESULT = pa.schema([
 
 
 def _chosen(h: np.ndarray, width: int) -> np.ndarray:
-    """Position of the smallest (leftmost of equals) of each ``width`` hashes in a row."""
-    bits = max(1, len(h).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    """Position of the smallest (leftmost of equals) of each ``width`` hashes in a row, one segment at most.
+
+    Hashes are compared without their lowest bits, which hold the position: as many in every segment, so that equal
+    strings choose alike wherever they lie.
+    """
+    low = np.uint64((1 << POSITION_BITS) - 1)
     best = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     have = 1
     while 2 * have <= width:
@@ -57,6 +62,38 @@ def _chosen(h: np.ndarray, width: int) -> np.ndarray:
     return (best & low).astype(np.int64)
 
 
+class Identifiers:
+    """Identifiers of the buckets of strings of any length from ``q``, refined from those of the q-grams.
+
+    ``names`` has the q-gram bucket of every place. Deeper ones are made for the places asked for only.
+    """
+
+    def __init__(self, names: np.ndarray, q: int) -> None:
+        self.names, self.q = names, q
+
+    def at_depth(self, places: np.ndarray, doublings: int) -> np.ndarray:
+        """Bucket at depth q * 2^doublings: the pair of the buckets of half that depth, here and behind it."""
+        if doublings == 0:
+            return self.names[places]
+        later = places + (self.q << (doublings - 1))
+        return self._pair(self.at_depth(places, doublings - 1), self.at_depth(later, doublings - 1))
+
+    @staticmethod
+    def _pair(here: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return mixed(here * np.uint64(0x9E3779B97F4A7C15) + later, salt=11)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out, lengths = np.empty(len(starts), np.uint64), ends - starts
+        doublings = np.zeros(len(starts), np.int64)
+        while (deeper := (self.q << (doublings + 1)) <= lengths).any():
+            doublings[deeper] += 1
+        for d in np.unique(doublings).tolist():
+            own = doublings == d
+            first, last = self.at_depth(starts[own], d), self.at_depth(ends[own] - (self.q << d), d)
+            out[own] = self._pair(first, last) ^ mixed(lengths[own].astype(np.uint64), salt=5)
+        return out
+
+
 class Suffixes:
     """Sampled suffixes of a batch. Each stands for the strings that start at ``first`` .. ``first + count - 1``.
 
@@ -64,7 +101,7 @@ class Suffixes:
     """
 
     def __init__(self, batch: Batch, length: int, q: int) -> None:
-        self.batch, self.length = batch, length
+        self.batch, self.length, self.q = batch, length, q
         data = np.frombuffer(batch.data, dtype=np.uint8)
         parts = []
         for a in range(0, max(0, len(data) - length + 1), SEGMENT):
@@ -77,8 +114,7 @@ class Suffixes:
         )
 
     def _segment(self, data: np.ndarray, offset: int, q: int) -> tuple[np.ndarray, ...]:
-        windows = Windows(BYTE_VALUES[data])
-        names = windows.all(q)
+        names = Windows(BYTE_VALUES[data]).all(q)
         at = _chosen(names, self.length - q + 1)
         starts = self.batch.starts
         row = np.searchsorted(starts, offset, "right") - 1
@@ -95,7 +131,7 @@ class Suffixes:
         end = np.minimum(end, starts[row + 1] - offset - self.length + 1)
         real = end > first
         first, end, row = first[real], end[real], row[real]
-        block = windows.hashes(first, end + self.length - 1) ^ mixed((end - first).astype(np.uint64), salt=5)
+        block = Identifiers(names, q).of(first, end + self.length - 1)
         # Chosen names are the smallest of many; mixed again, they spread over the key partitions.
         return first + offset, end - first, mixed(names[at[first]], salt=1), block, row
 
@@ -111,7 +147,7 @@ class Suffixes:
             a, b = int(start[at]), int(start[to - 1]) + self.length
             own = start[at:to] - a
             values = BYTE_VALUES[data[a:b]]
-            name[at:to] = Windows(values).hashes(own, own + self.length)
+            name[at:to] = Identifiers(Windows(values).all(self.q), self.q).of(own, own + self.length)
             check[at:to] = Windows(mixed(values, salt=9)).hashes(own, own + self.length) >> np.uint64(32)
             at = to
         return start, name, check
@@ -182,10 +218,12 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
 
     A byte of the UTF-8 text goes when a string of ``length`` bytes covers it that also starts earlier: in a
     smaller doc_id, or earlier in the same document. A null text is empty. A null doc_id comes after all
-    others; rows that share an id are not earlier than each other; an empty table gives an empty result.
+    others; rows that share an id are not earlier than each other; an empty table gives an empty result. A very long
+    text is a batch of its own, read whole in segments. Other columns, whatever their names, are left out.
     Strings of different batches are compared by 96 bits of hash or more, those of one batch (about 4 MB) by 64.
     """
-    parts = n_parts(docs)
+    batches = pack(docs)
+    parts = n_parts(batches, (length - q + 2) / 2)  # of that many places about one is chosen
 
     def buckets(batch: Batch, answers: list) -> Iterator[tuple]:
         s = Suffixes(batch, length, q)
@@ -250,7 +288,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, q: int = Q_GRAM
         yield from as_tables(rows(), RESULT, 4096)
 
     by_doc = (in_smaller_document, DOC_AND_CHECK)
-    batches = pack(docs)
     batches = asked_and_answered(batches, buckets, {BUCKET: (_often, "u1")}, parts, "answer1")
     batches = asked_and_answered(batches, blocks, {BLOCK: by_doc, ALONE: (_one_block, BLOCK_AND_CHECK)}, parts, "answer2")
     batches = asked_and_answered(batches, strings, {STRING: by_doc}, parts, "answer3")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from conftest import same_rows
 from hypothesis import given, settings, strategies as st
-import numpy as np
+from pyspark.sql import functions as F
 
 from starwash.llm import batches, simhash, substring, suffixes
 from starwash.llm.hashing import Windows, mixed
@@ -191,6 +192,62 @@ def test_every_link_is_found(spark, bits):
     assert got == expected
 
 
+def test_few_but_neighbours_meet(spark):
+    """Of random values none meet; chains of near ones meet about as often as they link."""
+    rng = random.Random(12)
+    values = {rng.getrandbits(64) for _ in range(20_000)}
+    far = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
+
+    def meetings(df):
+        cells = simhash._with_neighbours(df.select("fp", simhash.segment_counts(F.col("fp")).alias("cell")))
+        per_cell = cells.groupBy("cell").agg(F.count("*").alias("n"))
+        return per_cell.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0]
+
+    assert meetings(far) <= 5  # 2e8 pairs
+    near = set()
+    for v in list(values)[:300]:
+        for _ in range(10):
+            v ^= 1 << rng.randrange(64)
+            near.add(v - (1 << 64) if v >> 63 else v)
+    df = spark.createDataFrame([(v,) for v in near], "fp long")
+    # A pair within two bits meets in its own cells, in those around and in those between.
+    assert meetings(df) <= 60 * simhash.linked(df).count()
+
+
+def test_segment_counts_are_the_bits_of_each_pair(spark):
+    rng = random.Random(3)
+    values = [0, -1, 1 << 62, -(1 << 63), *[rng.getrandbits(64) - (1 << 63) for _ in range(50)]]
+    df = spark.createDataFrame([(v,) for v in values], "fp long").select("fp", simhash.segment_counts(F.col("fp")).alias("c"))
+    for fp, c in df.collect():
+        assert all((fp >> 2 * s & 3).bit_count() == c >> 2 * s & 3 for s in range(32))
+
+
+def test_batches_leave_no_table_and_one_file_for_each_task(spark, make):
+    before = {t.name for t in spark.catalog.listTables()}
+    docs = make([(i, f"text {i} " * 50) for i in range(200)], "doc_id long, text string").repartition(6)
+    packed = batches.pack(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert len(packed.inputFiles()) <= 6 and packed.agg(F.sum("n_bytes")).first()[0] == sum(len(f"text {i} " * 50) for i in range(200))
+    answers = packed.select(F.col("batch").alias("_of"), F.shiftright("batch", 32).alias("_task"))
+    own = (F.col("task") == F.col("_task")) & (F.col("batch") - F.col("_of") == 0)
+    plan = packed.hint("merge").join(answers.hint("merge"), own, "left")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.index("Exchange") > plan.index("SortMergeJoin")
+    assert batches.n_parts(packed, 0.0001) > batches.n_parts(packed, 34)
+
+
+def test_identifiers_name_equal_strings_alike_at_every_depth():
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 2, 3000, dtype=np.uint8)
+    ids = suffixes.Identifiers(Windows(mixed(data.astype(np.uint64) + np.uint64(7))).all(8), 8)
+    for length in (8, 9, 15, 16, 17, 31, 32, 33, 100):
+        starts = np.arange(len(data) - length + 1)
+        names = ids.of(starts, starts + length).tolist()
+        by_text = {}
+        for s, n in zip(starts, names):
+            by_text.setdefault(data[s : s + length].tobytes(), set()).add(n)
+        assert all(len(n) == 1 for n in by_text.values()) and len(set(names)) == len(by_text)
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(2000 + i, 2000 + (i + 1) % 30) for i in range(30)]
