@@ -86,7 +86,8 @@ def format_chats(turns: DataFrame, turns_per_piece: int = TURNS_PER_PIECE) -> Da
     of more than ``turns_per_piece`` turns continues in further pieces, so no row grows without bound.
     Rows without a conv_id belong to no conversation and are left out; a null role is ``unknown``, a null
     text empty, a null turn comes last; turns with the same number are ordered by a hash of their content,
-    and repeated rows are turns of their own.
+    and repeated rows are turns of their own. A very long single turn is rendered whole, in the row of its piece.
+    Other columns, whatever their names, are left out; an empty table gives an empty result.
     """
     hashed = stage(prefix_hashes(turns))
     kept = hashed.join(maximal_conversations(hashed), "conv_id", "left_semi")

@@ -163,7 +163,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MAX_BROADCA
 
     A null text has no words and is clean; a null item counts as no item. The words of an item of null item_id
     are hit like others, the id is not listed.
-    Repeated rows and items give equal results. Benchmark texts without words match nothing.
+    Repeated rows and items give equal results. Benchmark texts without words match nothing. A very long text is
+    looked up whole; other columns, whatever their names, are left out; without documents the result is empty.
     """
     found = _with_hits(docs.select("doc_id", F.col("text").alias("t")), benchmark, most)
     return found.select(
@@ -177,6 +178,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MAX_BROADCA
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
-    """The rows of ``docs``, all their columns, without a benchmark window; others are removed whole."""
+    """The rows of ``docs``, all their columns, without a benchmark window; others are removed whole.
+
+    Column names may be those used here; null, empty and very long texts as in ``contamination``.
+    """
     found = _with_hits(wrapped(docs, t=F.col("text")), benchmark, most)
     return unwrapped(found.filter(F.size("positions") == 0))

@@ -26,7 +26,8 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: fl
     sources. The water level is found on sources sorted by how early they reach ``max_epochs``: with the
     first k full, the level is what is left over the weight that is left. It rises as long as the next
     source is over its cap and falls after that, so the highest one is where repeated redistribution ends.
-    The windows run over one row per source, not over documents. Sources without a word get the target 0.
+    The windows run over one row per source, not over documents: right for thousands of sources, but millions of
+    hosts as sources would meet in one task. Sources without a word get the target 0.
     """
     in_order = W.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(in_order) - 1) % len(weights)
@@ -94,7 +95,8 @@ def mix(
 
     ``taken`` is the size times the copies the mix holds: all whole repetitions of the source, and one more
     for a seeded choice of documents. Null is a source of its own, a null text has size 0 and takes 0.
-    Rows repeated with the same id and size are chosen together; an empty table gives an empty result.
+    Rows repeated with the same id and size are chosen together; an empty table gives an empty result. The words of
+    a very long text are counted whole; other columns, whatever their names, are left out.
     """
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return with_copies(stage(sized), weights, max_epochs, seed).select(
@@ -105,7 +107,10 @@ def mix(
 def mixed_documents(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: int = SEED
 ) -> DataFrame:
-    """The rows of ``docs``, all their columns, each as often as ``mix`` takes it."""
+    """The rows of ``docs``, all their columns, each as often as ``mix`` takes it.
+
+    Column names may be those used here; texts and empty tables as in ``mix``.
+    """
     sized = wrapped(
         docs, doc_id=F.col("doc_id"), source=F.col("source"), size=word_count(F.col("text"))
     )
