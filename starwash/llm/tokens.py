@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 import types
 import zlib
@@ -21,7 +23,8 @@ from starwash.sources.staging import stage, staged_path
 
 END = 2
 SHARD_TOKENS = 1 << 20
-KEPT_WORDS = 400_000  # words of which a worker remembers the ids
+KEPT_WORDS = 600_000  # words of which a worker remembers the ids
+KEPT_PIECES = 1_000_000  # letters or signs of words, of which it remembers them longer
 RUN_BYTES = 1 << 18  # text that is encoded at a time
 RUN_WORDS = 2048  # new words that are handed to the tokenizer at a time; its answers are large objects
 
@@ -34,13 +37,80 @@ SHARD = pa.schema([
 SHARD_DDL = "chunk long, place long, before long, n_tokens long, ids binary, no_id binary, sizes binary, file binary"
 
 
+#: What the word encoder relies on; with another normaliser, pre-tokenizer or mark whole texts are encoded.
+WORD_SHAPE = {
+    "normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"],
+    "pattern": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+    "model": {"type": "BPE", "end_of_word_suffix": "</w>", "dropout": None, "unk_token": None, "continuing_subword_prefix": None},
+}
+#: Letters, then signs, then the rest of a word. Letters up to U+017F stay as they are under NFC and have one lower
+#: case; a word with a rest is handed to the tokenizer as it is.
+LETTERS_AND_SIGNS = re.compile(r"(?:^| )([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]*)([!-/:-@\[-`{-~]*)([^ ]*)")
+
+
+def is_word_shape(vocabulary: str) -> bool:
+    """Whether the vocabulary file cuts a text as ``WordEncoder`` does."""
+    file = json.loads(vocabulary)
+    steps = {
+        part: [s["type"] for s in (file.get(part) or {}).get(inner, [])]
+        for part, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))
+    }
+    if any(steps[part] != WORD_SHAPE[part] for part in steps) or file.get("post_processor") or file.get("truncation"):
+        return False
+    pattern = file["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex")
+    blanks = file["normalizer"]["normalizers"][1]
+    return (
+        pattern == WORD_SHAPE["pattern"] and blanks["pattern"].get("Regex") == "\\s+" and blanks["content"] == " "
+        and all(file["model"].get(k) == v for k, v in WORD_SHAPE["model"].items())
+    )
+
+
+class _Numbered(dict):
+    """Numbers keys in the order in which they are first asked for; ``new`` are those since it was last emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+
+class _Lists:
+    """Numbered lists of ids in a row, in arrays that grow by doubling."""
+
+    def __init__(self) -> None:
+        self.n = self.total = 0
+        self.starts, self.sizes, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, total = self.n + len(sizes), self.total + len(ids)
+        if n > len(self.sizes):
+            self.starts, self.sizes = (np.resize(a, 2 * n) for a in (self.starts, self.sizes))
+        if total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * total)
+        self.sizes[self.n : n] = sizes
+        self.starts[self.n : n] = self.total + np.cumsum(sizes) - sizes
+        self.flat[self.total : total] = ids
+        self.n, self.total = n, total
+
+    def joined(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the lists ``at`` in a row, the size of each)."""
+        sizes = self.sizes[at]
+        until = np.cumsum(sizes)
+        total = int(until[-1]) if len(at) else 0
+        return self.flat[np.repeat(self.starts[at] - until + sizes, sizes) + np.arange(total)], sizes
+
+
 class WordEncoder:
     """Ids of texts, word by word: blanks end every token, so a text's ids are its words' ids in a row.
 
-    Words come again and again, so KEPT_WORDS words are remembered, then forgotten together. A word is one or
-    two pieces: letters, and the full stop or comma after them, which the tokenizer never joins; other words
-    are one piece. Pieces of letters are handed to the tokenizer many at a time as one text: each ends with
-    the only token in it that the vocabulary marks as an end of word.
+    Words come again and again, so KEPT_WORDS words are remembered, then forgotten together. Most are letters and
+    then signs, which the tokenizer never joins; such pieces in lower case are remembered longer, KEPT_PIECES of them,
+    since many words share one. New pieces of letters are handed to the tokenizer many at a time as one text: each
+    ends with the only token in it that the vocabulary marks as an end of word.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -49,85 +119,72 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         known = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bits = max(END, *known.values()).bit_length()
+        self.by_word = is_word_shape(vocabulary)
         self.ends = np.zeros(1 << self.bits, dtype=bool)
         self.ends[[i for token, i in known.items() if token.endswith("</w>")]] = True
-        self.forget()
+        self._forget_words()
+        self._forget_pieces()
+
+    def _forget_words(self) -> None:
+        self.words, self.ids_of_word = _Numbered(), _Lists()
 
-    def forget(self) -> None:
-        self.words: dict[bytes, int] = {}  # of a word in ``first`` and ``second``, its pieces
-        self.pieces: dict[bytes, int] = {b"": 0}  # of a piece in ``starts`` and ``sizes``, its ids in ``flat``
-        self.first = self.second = np.empty(0, dtype=np.int64)
-        self.starts = self.sizes = np.zeros(1, dtype=np.int64)
-        self.flat = np.empty(0, dtype=np.uint32)
+    def _forget_pieces(self) -> None:
+        self.pieces, self.ids_of_piece = _Numbered(), _Lists()
+        self.pieces[""] = 0
+        self.ids_of_piece.add(np.empty(0, np.uint32), np.zeros(1, np.int64))
 
-    def _ids_of_letters(self, run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids_of_letters(self, run: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in a row, number of ids of each)."""
-        ids = self.tokenizer.encode_batch_fast([b" ".join(run).decode()], add_special_tokens=False)[0].ids
+        ids = self.tokenizer.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids
         ids = np.array(ids, dtype=np.uint32)
         last = np.flatnonzero(self.ends[ids])
         if len(last) == len(run) and (not len(run) or last[-1] == len(ids) - 1):
             return ids, np.diff(last, prepend=-1)
         return self._ids_one_by_one(run)  # a letter that the tokenizer takes apart
 
-    def _ids_one_by_one(self, run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [p.decode("utf-8", "replace") for p in run]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids_one_by_one(self, run: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(run, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=sizes.sum()), sizes
 
     def _learn(self, words: list[bytes]) -> None:
-        letters, others, split = [], [], []
-        for w in words:
-            end = w[-1:] if w[-1] in b".," else b""
-            core = w[:-1] if end else w
-            plain = core.isalpha()  # ASCII letters: lower case needs no tokenizer
-            if plain:
-                core = core.lower()
-            elif not core.decode("utf-8", "replace").isalpha():
-                core, end = w, b""
-            else:
-                plain = True
-            split.append((core, end))
-            if core not in self.pieces:
-                self.pieces[core] = -1
-                (letters if plain else others).append(core)
-            if end and end not in self.pieces:
-                self.pieces[end] = -1
-                others.append(end)
-        flat, sizes = [self.flat], [self.sizes]
-        for kind, ask in ((self._ids_of_letters, letters), (self._ids_one_by_one, others)):
-            for at in range(0, len(ask), RUN_WORDS):
-                ids, counts = kind(ask[at : at + RUN_WORDS])
-                flat.append(ids)
-                sizes.append(counts)
-        n = len(self.sizes)
-        self.pieces.update(zip(letters + others, range(n, n + len(letters) + len(others))))
-        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.words.update(zip(words, range(len(self.first), len(self.first) + len(words))))
-        self.first = np.append(self.first, [self.pieces[c] for c, _ in split])
-        self.second = np.append(self.second, [self.pieces[e] for _, e in split])
+        if len(self.pieces) > KEPT_PIECES:
+            self._forget_pieces()
+        text, number = b" ".join(words).decode("utf-8", "replace"), self.pieces.__getitem__
+        split = LETTERS_AND_SIGNS.findall(text)
+        # A piece that is letters only is numbered in lower case; one with a rest stands for the whole word.
+        first = [number(letters.lower() if not rest else letters + signs + rest) for letters, signs, rest in split]
+        second = [number(signs if not rest else "") for _, signs, rest in split]
+        new, self.pieces.new = self.pieces.new, []
+        for at in range(0, len(new), RUN_WORDS):
+            run = new[at : at + RUN_WORDS]
+            plain = [p for p in run if p.isalpha()]
+            ids, sizes = self._ids_of_letters(plain)
+            if len(plain) < len(run):
+                more, counts = self._ids_one_by_one([p for p in run if not p.isalpha()])
+                mixed = _Lists()
+                mixed.add(np.concatenate([ids, more]), np.concatenate([sizes, counts]))
+                own = np.fromiter(map(str.isalpha, run), dtype=bool, count=len(run))
+                ids, sizes = mixed.joined(np.where(own, np.cumsum(own) - 1, len(plain) + np.cumsum(~own) - 1))
+            self.ids_of_piece.add(ids, sizes)
+        ids, sizes = self.ids_of_piece.joined(np.array([first, second], dtype=np.int64).T.ravel())
+        self.ids_of_word.add(ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text, END appended."""
+        if not self.by_word:
+            found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.array([*e.ids, END], dtype=np.uint32) for e in found]
         if len(self.words) > KEPT_WORDS:
-            self.forget()
-        split = [t.split() for t in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.words]
+            self._forget_words()
+        number, numbered = self.words.__getitem__, []
+        for text in texts:
+            words = text.split()
+            numbered.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
+        new, self.words.new = self.words.new, []
         if new:
             self._learn(new)
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
-            pieces = np.column_stack([self.first[at], self.second[at]]).ravel()
-            sizes = self.sizes[pieces]
-            until = np.cumsum(sizes)
-            total = int(until[-1]) if len(pieces) else 0
-            ids = np.empty(total + 1, dtype=np.uint32)
-            ids[:-1] = self.flat[np.repeat(self.starts[pieces] - until + sizes, sizes) + np.arange(total)]
-            ids[-1] = END
-            out.append(ids)
-        return out
+        return [np.append(self.ids_of_word.joined(at)[0], np.uint32(END)) for at in numbered]
 
 
 def _encoder(vocabulary: str) -> WordEncoder:
@@ -262,14 +319,19 @@ def tokens_at(spark: SparkSession, path: str, positions: Sequence[int]) -> DataF
 
         yield from as_tables(rows(), pa.schema([("position", pa.int64()), ("token", pa.int64())]), 4096)
 
-    return _shards(spark, path).select("start", "n_tokens", "file").mapInArrow(access, "position long, token long")
+    inside = F.lit(False)
+    for p in positions:
+        inside = inside | ((F.col("start") <= p) & (F.col("start") + F.col("n_tokens") > p))
+    shards = _shards(spark, path).filter(inside).select("start", "n_tokens", "file")
+    return shards.mapInArrow(access, "position long, token long")
 
 
 def encode_and_read(docs: DataFrame, vocabulary_file: str) -> DataFrame:
     """Write the token files into the shared folder and read them back: one row per row of ``docs``.
 
-    A null or empty text is the end id alone. Rows repeated or with one id each have their place, in the
-    order of a hash of their text; a null doc_id comes last. An empty table gives no shard and no row.
+    A null or empty text is the end id alone; a very long one is encoded whole, in one shard. Rows repeated or with
+    one id each have their place, in the order of a hash of their text; a null doc_id comes last. An empty table
+    gives no shard and no row. Other columns, whatever their names, are left out.
     """
     path = staged_path(docs.sparkSession)
     write_tokens(docs, path, vocabulary_file)

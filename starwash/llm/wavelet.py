@@ -27,7 +27,7 @@ def encode(ids: np.ndarray, bits: int) -> bytes:
     for k in range(bits - 1, -1, -1):
         one = (x >> k & 1).astype(bool)
         plane = np.packbits(one)
-        x = np.concatenate([x[~one], x[one]])
+        x = np.concatenate([np.compress(~one, x), np.compress(one, x)])  # faster than a mask as index
         ones = np.add.reduceat(_BITS_SET[plane], np.arange(0, len(plane), RANK_BYTES), dtype=np.uint32) if len(plane) else []
         ranks = np.concatenate([[0], np.cumsum(ones)]).astype("<u4").tobytes()
         body = squeeze(plane.tobytes())
@@ -58,10 +58,10 @@ class WaveletMatrix:
         """All ids: the splits undone from the last plane up."""
         x = np.zeros(self.n, dtype=np.uint16 if self.bits <= 16 else np.uint32)
         for k, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
-            one = np.unpackbits(plane, count=self.n).astype(bool)
+            one = np.unpackbits(plane, count=self.n).view(bool)
             before = np.empty_like(x)
-            before[~one] = x[:zeros]
-            before[one] = x[zeros:] | x.dtype.type(1 << k)
+            before[np.flatnonzero(~one)] = x[:zeros]
+            before[np.flatnonzero(one)] = x[zeros:] | x.dtype.type(1 << k)
             x = before
         return x
 

@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from starwash.llm import chat, decontaminate, mixing, quality, simhash, tokens
+from starwash.llm.queries import vocabulary
 from starwash.llm.wavelet import WaveletMatrix, encode
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +67,14 @@ def test_long_and_dirty_conversations(make):
     assert chat.format_chats(make([], TURNS)).collect() == []
 
 
+def test_very_long_turns_and_clashing_columns(make):
+    long = "a very long turn " * 60_000
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (2, 0, "user", "hi"), (3, 0, "user", long), (3, 1, "user", "x")]
+    names = ("piece", "n_turns", "hash", "h", "n", "row", "_chunk", "_pos", "prefix")
+    turns = make(rows, TURNS).selectExpr("*", *[f"'{c}' as {c}" for c in names])
+    same_rows(chat.format_chats(turns).collect(), plain_chats(rows))
+
+
 # --- mixing ------------------------------------------------------------------------------------------------
 
 
@@ -369,3 +378,47 @@ def test_pipeline_of_dirty_rows(spark, make, dirty_docs, tmp_path):
                 assert out.columns == wide.columns
                 docs = out
         assert out.count() == docs.count()
+
+
+ODD_WORDS = [
+    "it's", "'s", "don't.", "a.b", "x²", "½", "naïve,", "ÀÉÎ!!", "İstanbul", "ſtraße", "слово", "СЛОВО.", "漢字", "😀", "éx", "ﬁn",
+    "<|endoftext|>", "a<|startoftext|>b", "under_score", "__", "...", "%%%", "word%%%", "WORD***", "12ab", "ab12", "a b", "µ", "ªº", "Ŀl",
+    "ŉ", "Σίσυφος", "​z", "\x85", "a\x1cb", "'", "o'", "'tis", "rock'n'roll", "C++", "#hash", "Å", "KK",
+]
+
+
+@pytest.mark.parametrize("kept", [(400_000, 1_000_000), (3, 5)])
+def test_word_encoder_equals_the_tokenizer(spark, monkeypatch, kept):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", kept[0])
+    monkeypatch.setattr(tokens, "KEPT_PIECES", kept[1])
+    with open(vocabulary(), encoding="utf-8") as f:
+        words, whole = tokens.WordEncoder(f.read()), Tokenizer.from_file(vocabulary())
+    assert words.by_word
+    rng = random.Random(6)
+    docs = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs += [" ".join(rng.choice(ODD_WORDS) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ODD_WORDS
+    for at in range(0, len(docs), 37):
+        run = docs[at : at + 37]
+        got = words.encode([t.encode() for t in run])
+        assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids + [tokens.END] for t in run]
+
+
+def test_other_vocabularies_encode_whole_texts(spark, make, tmp_path):
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(file)
+    rows = [(2, "Two Words, and  blanks "), (1, "it's É"), (1, "it's É"), (None, ""), (3, None)]
+    got = tokens.encode_and_read(make([(i, t, "", "", 0) for i, t in rows]), file).collect()
+    expected = [len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
+    assert sorted(r.n_tokens for r in got) == sorted(expected)
+    by_id = {r.doc_id: r for r in got}
+    ids = np.array([*whole.encode(rows[0][1], add_special_tokens=False).ids, tokens.END], "<u4")
+    assert by_id[2].ids_crc32 == zlib.crc32(ids.tobytes()) and by_id[2].start == 2 * expected[1]
+
+
+def test_rows_with_one_id_keep_their_order(make):
+    """Three different texts and a copy under one id: their place is that of a hash of the text, on every run."""
+    rows = [(5, t, "", "", 0) for t in ("one two", "three", "three", "four five six")] + [(4, "zero", "", "", 0)]
+    first = [tuple(r) for r in tokens.encode_and_read(make(rows), vocabulary()).orderBy("start").collect()]
+    again = [tuple(r) for r in tokens.encode_and_read(make(rows).repartition(3), vocabulary()).orderBy("start").collect()]
+    assert first == again and [r[0] for r in first] == [4, 5, 5, 5, 5]
+    assert [r[1] for r in first] == list(np.cumsum([0] + [r[2] for r in first])[:-1])
