@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starwash.llm.common import bounded_sample, text_bytes, unwrapped, wrapped
+from starwash.llm.common import TEXT_GROUP_BYTES, bounded_sample, text_bytes, unwrapped, wrapped
 from starwash.sources.staging import stage
 
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -289,7 +289,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     empty or very long text is judged as any other, whole; repeated rows share their fate; column names may be those
     used here; an empty table stays empty.
     """
-    rows = stage(wrapped(docs, doc_id=F.col("doc_id").cast("long"), s=rule_statistics()))
+    rows = stage(wrapped(docs, doc_id=F.col("doc_id").cast("long"), s=rule_statistics()), TEXT_GROUP_BYTES)
     forest = train(rows.select("doc_id", "s.*"), labels)
 
     @F.pandas_udf("boolean")
