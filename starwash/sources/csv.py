@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from starwash.functions.text import null_tokens_to_null, quoted
+from starwash.sources.csv_records import joined_records, lines_with_state, unclosed_files
 from starwash.sources.staging import stage
 
 REJECT = "_malformed"
@@ -20,6 +21,7 @@ OPEN_AT_THE_END = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+
 #: Splits of files, one row each: up to so many are broadcast, 30 bytes or so each.
 MAX_BROADCAST_SPLITS = 1_000_000
 ROW_BITS = 33
+ROW_GROUP_BYTES = 32 << 20  # of staged lines
 
 
 class MalformedCsv(ValueError):
@@ -62,11 +64,15 @@ def parsed_lines(
     ``open`` marks lines that end inside a quoted field; they have no record. A record has the columns ``names``
     as text and ``rejects``, if asked for; without it a line of another number of fields ends the read.
     """
+    lines = _raw_lines(spark, path, header, strict).withColumn("open", ends_in_quotes(F.col("line")))
+    return _parsed(lines, names, rejects)
+
+
+def _parsed(lines: DataFrame, names: Sequence[str], rejects: str | None) -> DataFrame:
     fields = [f"{quoted(n)} string" for n in [*names, *([rejects] if rejects else [])]]
     options = {"escape": '"', "mode": "PERMISSIVE" if rejects else "FAILFAST"}
     if rejects:
         options["columnNameOfCorruptRecord"] = rejects
-    lines = _raw_lines(spark, path, header, strict).withColumn("open", ends_in_quotes(F.col("line")))
     record = F.when(~F.col("open"), F.from_csv("line", ", ".join(fields), options))
     return lines.select(record.alias("record"), "open", "file", "split", "row")
 
@@ -91,28 +97,27 @@ def scan_csv(
 
     Types are never inferred: that reads the data twice and depends on the rows at hand. ``types`` casts
     columns, and what does not cast becomes null. ``order_column`` adds a bigint that grows with the file and the
-    position in it. Files are split between tasks unless ``multiline``, whose order is a struct. Files without
-    ``header`` need ``columns``; where both are given, all files must begin with the first one's header line, and
-    that must name the columns.
+    position in it. Files are split between tasks, with ``multiline``, too. Files without ``header`` need ``columns``;
+    where both are given, all files must begin with the first one's header line, and that must name the columns.
     """
-    reader = spark.read.option("header", header).option("escape", '"')
+    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multiline)
     found = reader.csv(path).columns if header or not columns else list(columns)
     names = list(columns) if columns else found
     strict = bool(header and columns and not rejects)
     if strict and [n.lower() for n in found] != [n.lower() for n in names]:
         raise MalformedCsv(f"the header names {found}, not {names}")
-    if multiline:
-        return _typed(_scan_multiline(spark, path, names, order_column, rejects, header, strict), names, types)
-
-    lines = parsed_lines(spark, path, names, header, rejects, strict)
     seen = Observation()
-    lines = lines.observe(seen, F.min(F.when(F.col("open"), F.col("file"))).alias("file"))
+    if multiline:
+        lines = _records_of_lines(spark, path, header, strict)
+    else:
+        lines = _raw_lines(spark, path, header, strict).withColumn("open", ends_in_quotes(F.col("line")))
+    parsed = _parsed(lines, names, rejects).observe(seen, F.min(F.when(F.col("open"), F.col("file"))).alias("file"))
     place = [F.struct("file", "split", "row").alias(order_column)] if order_column else []
     try:
-        staged = stage(_typed(lines.select("record.*", *place), names, types))
+        staged = stage(_typed(parsed.select("record.*", *place), names, types))
     except Exception as failure:  # of Spark or, for what it does not know, of the JVM bridge
         # A broken row may be the rest of a field that goes on; only a failed read looks for the cause.
-        broken = unbalanced_lines(spark, path).limit(1).collect()
+        broken = [] if multiline else unbalanced_lines(spark, path).limit(1).collect()
         if broken:
             raise _line_break(broken[0].file) from failure
         raise
@@ -121,6 +126,32 @@ def scan_csv(
     return _with_ordinal(staged, order_column) if order_column else staged
 
 
+def _records_of_lines(spark: SparkSession, path: str, header: bool, strict: bool) -> DataFrame:
+    """As ``_raw_lines``, but records, whose quoted fields may hold line breaks; ``open`` is false.
+
+    The files are split between tasks and read once, into a staged table of lines. A line break inside a field
+    becomes a line feed.
+    """
+    line = F.col("value")
+    lines = stage(spark.read.text(path).select(
+        line.alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row"),
+        ends_in_quotes(line).alias("outside"), ends_in_quotes(F.concat(F.lit('"'), line)).alias("inside"),
+    ), ROW_GROUP_BYTES)
+    states = stage(lines_with_state(lines.drop("line")))
+    unclosed = unclosed_files(states).limit(1).collect()
+    if unclosed:
+        raise MalformedCsv(f"a quoted field in {unclosed[0].file} never closes")
+    records = joined_records(lines.select("line", "file", "split", "row"), states)
+    if header:
+        if strict:
+            heads = records.filter("first").select("line").distinct().limit(2).collect()
+            if len(heads) > 1:
+                raise MalformedCsv("the files have different header lines")
+        records = records.filter("not first")
+    return records.filter(F.trim("line") != "").drop("first").withColumn("open", F.lit(False))
+
+
 def _line_break(file: str) -> MalformedCsv:
     return MalformedCsv(f"quoted line break in {file}: pass multiline=True")
 
@@ -130,22 +161,6 @@ def _typed(df: DataFrame, names: Sequence[str], types: Mapping[str, str] | None)
     return text.withColumns({c: F.col(quoted(c)).try_cast(t) for c, t in types.items()}) if types else text
 
 
-def _scan_multiline(
-    spark: SparkSession, path: str, names: Sequence[str], order_column: str | None, rejects: str | None, header: bool, strict: bool
-) -> DataFrame:
-    """One task per file, by Spark's own reader, lazily."""
-    fields = [T.StructField(c, T.StringType()) for c in [*names, *([rejects] if rejects else [])]]
-    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", True)
-    reader = reader.option("mode", "PERMISSIVE" if rejects else "FAILFAST").option("columnPruning", False)
-    if rejects:
-        reader = reader.option("columnNameOfCorruptRecord", rejects)
-    raw = reader.option("enforceSchema", not strict).schema(T.StructType(fields)).csv(path)
-    if not order_column:
-        return raw
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
-    return raw.select(*raw.columns, place.alias(order_column))
-
-
 def _with_ordinal(staged: DataFrame, order_column: str) -> DataFrame:
     """The place (file, split, row) of each row as one bigint: the rank of its split, then the row inside it.
 

@@ -188,6 +188,55 @@ def test_columns_of_a_csv_may_have_the_names_used_inside(spark, tmp_path):
     assert got.asDict() == {"file": "1", "split": "2", "row": "3", "record": "4", "open": "5", "line": "6", "a`b": "7"}
 
 
+def random_csv(rng, rows, columns):
+    """Proper CSV with breaks, quotes and commas inside quoted fields and quotes inside plain ones."""
+    def field():
+        kind = rng.random()
+        if kind < 0.25:
+            text = "".join(rng.choice(["\n", '"', ",", "a", " b", "\n\n"]) for _ in range(rng.randint(0, 9)))
+            return '"' + text.replace('"', '""') + '"', text
+        plain = rng.choice(["x", "yy", 'pipe 5" wide', "1", 'a"b"c'])
+        return plain, plain
+
+    made = [[field() for _ in range(columns)] for _ in range(rows)]
+    return "\n".join(",".join(raw for raw, _ in row) for row in made) + "\n", [tuple(t or None for _, t in row) for row in made]
+
+
+@pytest.mark.parametrize("split", [900, 100_000])
+def test_records_of_several_lines_over_splits(spark, tmp_path, split):
+    rng, expected = random.Random(split), []
+    for f in range(3):
+        text, rows = random_csv(rng, 150, 3)
+        (tmp_path / f"f{f}.csv").write_text("a,b,c\n" + text)
+        expected += rows
+    settings = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = scan_csv(spark, str(tmp_path), order_column="ord", multiline=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = [tuple(r) for r in df.orderBy("ord").drop("ord").collect()]
+    tokens = {"", None}
+    assert [tuple(None if x in tokens else x for x in r) for r in got] == expected
+
+
+def test_multiline_files_without_header_blank_lines_and_open_ends(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('\n1,"a\n\n  b"\n\n\n2,"c ""d\n"""\n')
+    got = scan_csv(spark, str(tmp_path / "one.csv"), ["k", "v"], multiline=True, header=False)
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "a\n\n  b"), ("2", 'c "d\n"')]
+    (tmp_path / "two.csv").write_text('k,v\n1,"never\nclosed\n2,x\n')
+    with pytest.raises(MalformedCsv, match="never closes"):
+        scan_csv(spark, str(tmp_path / "two.csv"), multiline=True)
+    (tmp_path / "three.csv").write_text('k,v\n1,"a\nb",9\n2,"x\ny"\n')
+    good, bad = split_rejects(scan_csv(spark, str(tmp_path / "three.csv"), multiline=True, rejects=REJECT))
+    assert [tuple(r) for r in good.collect()] == [("2", "x\ny")] and [r[0] for r in bad.collect()] == ['1,"a\nb",9']
+    (tmp_path / "four.csv").write_text("k,v\n")
+    assert scan_csv(spark, str(tmp_path / "four.csv"), multiline=True).collect() == []
+
+
 def test_scopes_of_two_threads_do_not_touch_each_other(spark):
     ready, done = threading.Barrier(2), threading.Event()
     kept = {}
