@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starwash.llm.common import TEXT_GROUP_BYTES, bounded_sample, text_bytes, unwrapped, wrapped
+from starwash.llm.common import bounded_sample, text_bytes, unwrapped, wrapped
 from starwash.sources.staging import stage
 
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -285,16 +285,17 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all their columns, that ``judge`` keeps.
 
-    Each row is staged once beside its statistics, so that the texts are counted once to train and to filter. A null,
-    empty or very long text is judged as any other, whole; repeated rows share their fate; column names may be those
-    used here; an empty table stays empty.
+    The statistics are computed once to train and once more where the rows are filtered: two scans move nothing.
+    Staging the texts beside their statistics spares a third of the Python time, but took 0.3 GB more of an executor
+    and once more the input's size on disk. A null, empty or very long text is judged as any other, whole; repeated
+    rows share their fate; column names may be those used here; an empty table stays empty.
     """
-    rows = stage(wrapped(docs, doc_id=F.col("doc_id").cast("long"), s=rule_statistics()), TEXT_GROUP_BYTES)
-    forest = train(rows.select("doc_id", "s.*"), labels)
+    forest = train(_staged_statistics(docs), labels)
 
     @F.pandas_udf("boolean")
-    def verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        for stats in batches:
-            yield pd.Series(kept(forest, stats[STATISTICS].to_numpy(dtype=float)), dtype=bool)
+    def verdict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            stats = np.array([statistics_of(t) for t in texts], dtype=float).reshape(-1, len(STATISTICS))
+            yield pd.Series(kept(forest, stats), dtype=bool)
 
-    return unwrapped(rows.filter(verdict("s")))
+    return unwrapped(wrapped(docs, t=text_bytes()).filter(verdict("t")))
