@@ -23,8 +23,8 @@ from starwash.sources.staging import stage, staged_path
 
 END = 2
 SHARD_TOKENS = 1 << 20
-KEPT_WORDS = 600_000  # words of which a worker remembers the ids
-KEPT_PIECES = 1_000_000  # letters or signs of words, of which it remembers them longer
+KEPT_WORDS = 200_000  # words of which a worker remembers the ids
+KEPT_PIECES = 700_000  # letters or signs of words, of which it remembers them longer
 RUN_BYTES = 1 << 18  # text that is encoded at a time
 RUN_WORDS = 2048  # new words that are handed to the tokenizer at a time; its answers are large objects
 
