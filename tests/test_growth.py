@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,63 @@ def test_orders_are_standardized_once_for_the_rows_the_fact_leaves_out(spark, ta
     want = warehouse.fact_unmatched(real(raw), warehouse.build_dimensions(warehouse.clean(raw)))
     assert sorted(map(str, rows.collect())) == sorted(map(str, want.collect())) != []
     assert "regexp_replace" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def every_text(*alphabets):
+    return [("".join(t),) for t in itertools.product(*alphabets)]
+
+
+def test_dates_of_ten_characters_are_those_of_the_regex(spark):
+    """Two characters of a date replaced by others, among them what a cast takes and the regex does not."""
+    texts = {(None,), ("",), ("0000-01-05",), ("05/01/0000",), ("2023-02-29",), ("29/02/2023",), ("31/04/2024",)}
+    for date in ("2024-01-05", "05/01/2024", "05-01-2024", "2024/01/05"):
+        for i, j in itertools.combinations(range(10), 2):
+            for a, b in itertools.product(" T1-/\x00٠", repeat=2):
+                changed = list(date)
+                changed[i], changed[j] = a, b
+                texts |= {("".join(changed),), ("".join(changed) + a,), (a + "".join(changed),)}
+    c, n = F.col("t"), [0, 0]
+    rows = spark.createDataFrame(sorted(texts, key=str), "t string")
+    for i, (year_first, day_first) in enumerate((("-", "/"), ("[-/]", "[-/]"))):
+        ymd = rf"({dates.YEAR}){year_first}({dates.MONTH}){year_first}({dates.DAY})"
+        dmy = rf"({dates.DAY}){day_first}({dates.MONTH}){day_first}({dates.YEAR})"
+        slow = dates._rearranged(c, f"{dates.AROUND}(?:{ymd}|{dmy}){dates.AROUND}", "$1$6-$2$5-$3$4")
+        by_place = F.coalesce(*dates._ten_characters(c))
+        read = rows.select("t", slow.alias("slow"), by_place.alias("place"), dates._numeric_date(c, year_first, day_first).alias("got"))
+        assert read.filter("not got <=> slow or (place is not null and not place <=> slow)").collect() == []
+        n[i] = read.filter("place is not null").count()
+    assert n[0] == n[1] > 50
+
+
+def test_dates_of_eleven_characters_are_those_of_the_format(spark):
+    months = [f"{d}-{m}-2024" for d in ("05", "29", "31", "00", " 5", "5 ", "T5") for m in "Jan feb MAR Apr May Jun Jul Aug Sep Oct Nov Dec anf Jax".split()]
+    texts = {(m,) for m in months} | {(None,), ("",), ("05-Jan-0000",), ("29-Feb-2023",)}
+    for i, a in itertools.product(range(11), " T1-/\x00٠x"):
+        texts.add(("05-Jan-2024"[:i] + a + "05-Jan-2024"[i + 1:],))
+    c = F.col("t")
+    slow = dates._named_month(dates.strip(c), rf"^\d{{1,2}}-[A-Za-z]{{3}}-{dates.YEAR}$", "d-MMM-yyyy")
+    rows = spark.createDataFrame(sorted(texts, key=str), "t string")
+    read = rows.select("t", slow.alias("slow"), dates._eleven_characters(c).alias("place"), dates.parse_dates(c).alias("got"))
+    assert read.filter("not got <=> slow or (place is not null and not place <=> slow)").collect() == []
+    assert read.filter("place is not null").count() > 30
+
+
+def test_plain_amounts_are_those_of_the_regex(spark):
+    c = F.col("t")
+    texts = every_text("$1 (-", *["1,.$ "] * 4) + every_text("$1", "234", ",1", "234", "5", "60", ",.7", *["01"] * 2, ".") + [(None,), ("",)]
+    rows = spark.createDataFrame(texts, "t string")
+    trimmed = F.trim(c)
+    signed = F.when(trimmed.startswith("("), F.regexp_replace(trimmed, numeric.BRACKETS, "-$1")).otherwise(trimmed)
+    digits = F.regexp_replace(signed, numeric.MONEY, "$1$2$3")
+    slow = numeric.finite(F.replace(digits, F.lit(",")).try_cast("double"))
+    read = rows.select("t", slow.alias("slow"), numeric.parse_currency(c).alias("got"), trimmed.rlike(numeric.PLAIN_MONEY).alias("plain"))
+    assert read.filter("not got <=> slow or (plain and got is null)").collect() == []
+    assert read.filter("plain").count() > 100
+
+
+@pytest.mark.parametrize("parse", [dates.parse_dates, dates.parse_flexible_date, numeric.parse_currency])
+def test_usual_dates_and_amounts_are_not_rewritten_by_regex(spark, parse):
+    parsed = spark.createDataFrame([("12",)], "t string").select(parse(F.col("t")).alias("v"))
+    steps = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in steps[:steps.index("regexp_replace")]
+    assert "RLIKE(trim(t" in steps or "substring(t" in steps
