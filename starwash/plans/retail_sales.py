@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starwash.functions.dates import date_text, parse_dates
 from starwash.functions.numeric import net_amount, parse_number
-from starwash.functions.text import clean_text_columns, empty_to_null, strip
+from starwash.functions.text import clean_columns, empty_to_null, strip
 from starwash.operators.checks import TableRules, ValidationError, foreign_key_orphans, require_valid
 from starwash.operators.dedupe import keep_first
 from starwash.operators.fill import drop_incomplete, fill_from_same_key, is_complete
@@ -30,17 +30,15 @@ RULES = {
 FOREIGN_KEYS = {"Location_ID": "Dim_Location", "Product_ID": "Dim_Product", "Date_ID": "Dim_Date"}
 
 
-def standardize_text(raw: DataFrame) -> DataFrame:
-    ids = raw.withColumns({
-        "Sale_ID": empty_to_null(strip(F.col("Sale_ID"))),
-        "Store_Code": strip(F.col("Store_Code")),
-    })
-    return clean_text_columns(ids, {c: c for c in TITLE_COLUMNS}, title=True)
+def standardize_text(raw: DataFrame, others: Mapping[str, Column] | None = None) -> DataFrame:
+    """Ids and names cleaned; ``others`` are further columns, over the raw ones, for the same projection."""
+    ids = {"Sale_ID": empty_to_null(strip(F.col("Sale_ID"))), "Store_Code": strip(F.col("Store_Code"))}
+    return clean_columns(raw, {}, {c: c for c in TITLE_COLUMNS}, {**ids, **(others or {})})
 
 
 def standardize(raw: DataFrame) -> DataFrame:
     """Clean text, numbers and dates; no row is dropped."""
-    return standardize_text(raw).withColumns({
+    return standardize_text(raw, {
         "Quantity": parse_number(F.col("Quantity")),
         "Unit_Price": parse_number(F.col("Unit_Price")),
         "Discount_Percent": F.coalesce(parse_number(F.col("Discount_Percent")), F.lit(0.0)),

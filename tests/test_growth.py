@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import itertools
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from starwash.functions import dates, numeric
+from starwash.functions import dates, numeric, text
 from starwash.operators import ordering
-from starwash.plans import order_warehouse as warehouse
+from starwash.plans import order_warehouse as warehouse, retail_sales as retail
 from starwash.session import HUGE_METHOD
 from starwash.sources.staging import staged_path
 from starwash.workload import queries, views
@@ -191,3 +192,61 @@ def test_usual_dates_and_amounts_are_not_rewritten_by_regex(spark, parse):
     steps = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN" in steps[:steps.index("regexp_replace")]
     assert "RLIKE(trim(t" in steps or "substring(t" in steps
+
+
+def cleaning(spark, clean, texts):
+    """Number of projections that compute texts or numbers in ``clean`` of a table of text columns."""
+    raw = spark.createDataFrame([[" a "] * len(texts) + [1]], ", ".join(f"{c} string" for c in texts) + ", ord bigint")
+    return clean(raw)._jdf.queryExecution().optimizedPlan().toString().count("Project [")
+
+
+def test_cleaning_copies_a_row_four_times_at_most(spark):
+    """Six and seven times before: every projection copies the whole row."""
+    assert cleaning(spark, warehouse.standardize, views.columns_of("orders_raw")) <= 4
+    assert cleaning(spark, retail.standardize, views.columns_of("sales")) <= 4
+
+
+@pytest.mark.parametrize("view, names, tables_of", [
+    ("orders_raw", ["Order_ID", "Customer_Name", "Product"], ["orders", "customer", "part"]),
+    ("sales", ["Sale_ID", "Region", "Product_Name"], ["orders", "customer", "nation", "region", "part"]),
+])
+def test_customers_meet_the_orders_before_the_line_items(spark, tables, view, names, tables_of):
+    """Line items are shuffled for orders and part only; rows of null, missing or repeated keys are as before."""
+    folder = staged_path(spark)
+    rows = {
+        "orders": ([(1, 7), (1, 7), (2, None), (59, 8)], "o_orderkey bigint, o_custkey bigint"),
+        "customer": ([(7, "ann", 1), (7, "bob", 2), (None, "nil", 1)], "c_custkey bigint, c_name string, c_nationkey bigint"),
+        "nation": ([(1, "PERU", 1), (1, "CUBA", None)], "n_nationkey bigint, n_name string, n_regionkey bigint"),
+        "region": ([(1, "AMERICA"), (None, "NONE")], "r_regionkey bigint, r_name string"),
+    }
+    for t in ("lineitem", "part"):
+        spark.read.parquet(f"{tables}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    for t, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{folder}/{t}.parquet")
+    got = views.dirty(spark, folder, view, names)
+    build, _, source, joins = views.VIEWS[view]
+    columns = ", ".join(f"{build(views.SPARK)[c][0]} as {c}" for c in names)
+    flat = f"select {columns} from {source} " + " ".join(joins[t] for t in tables_of)
+    named = re.sub(r"\b(from|join) (lineitem|orders|customer|nation|region|part)\b", r"\1 {\2}", flat)
+    want = spark.sql(named, **{t: spark.read.parquet(f"{folder}/{t}.parquet") for t in ("lineitem", *tables_of)})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() > 6
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Join LeftOuter" in line and "l_" in line for line in lines) == 2
+
+
+def test_usual_texts_are_stripped_and_read_without_a_search(spark):
+    """As ``btrim`` and the regex, which only unusual texts need."""
+    edges = ["", " ", "a", "7", "~", "\t", "\n", " ", "　", "é", "\x00", "\x7f", "\x1c"]
+    middles = ["", "a b", "12", "1d5", "0x1p3", "0X1P3", "1f", "1e400", "nan", "Infinity", "-1.5e3", "٣", "1_000"]
+    texts = [(a + m + b,) for a, m, b in itertools.product(edges, middles, edges)] + [(None,)]
+    rows = spark.createDataFrame(texts, "t string")
+    t = F.col("t")
+    read = rows.select(
+        "t", text.strip(t).alias("s"), F.btrim(t, F.lit(text.WHITE_SPACE)).alias("s0"), numeric.parse_number(t).alias("n"),
+        numeric.finite(F.when(~t.rlike(numeric.JAVA_NUMBER), t.try_cast("double"))).alias("n0"),
+    )
+    assert read.filter("not (s <=> s0) or not (n <=> n0)").collect() == []
+    assert read.filter("n is not null").count() > 50
+    plan = read.select("s", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (((substring(trim(t" in plan and plan.index("substring(t") < plan.index("RLIKE(t")
