@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from starwash.llm import simhash
 from starwash.operators import dedupe, fill, ordering, star
 from starwash.plans import order_warehouse as warehouse, reports
 from starwash.sources.staging import stage
@@ -132,3 +133,14 @@ def test_reports_sum_before_they_join(spark, small):
     assert "partial_sum(amount" in text
     join = min(i for i in (text.find("HashJoin [product_id"), text.find("SortMergeJoin [product_id")) if i > 0)
     assert join < text.rindex("partial_sum(amount")
+
+
+def test_cells_of_fingerprints_are_not_broadcast(spark):
+    """Each value enters some 48 cells, which the size that the planner goes by does not show."""
+    values = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    near = values.select(F.col("fp").bitwiseXOR(F.lit(5).cast("long")).alias("fp"))  # two bits
+    prints = stage(values.union(near))
+    pairs = simhash.linked(prints)
+    found = {tuple(row) for row in pairs.collect()}
+    assert found == {(min(v, v ^ 5), max(v, v ^ 5)) for (v,) in values.collect()}
+    assert "SortMergeJoin" in plan(pairs) and "Broadcast" not in plan(pairs)
