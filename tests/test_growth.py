@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import itertools
+import os
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from starwash.functions import dates, numeric, text
 from starwash.operators import ordering
 from starwash.plans import order_warehouse as warehouse, retail_sales as retail
 from starwash.session import HUGE_METHOD
-from starwash.sources.staging import staged_path
+from starwash.sources.staging import REMOVE_SHUFFLES, shuffles_removed, stage, stage_all, staged_path
 from starwash.workload import queries, views
 from starwash.workload.queries import QUERIES
 
@@ -252,3 +255,81 @@ def test_usual_texts_are_stripped_and_read_without_a_search(spark):
     assert read.filter("n is not null").count() > 50
     plan = read.select("s", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN (((substring(trim(t" in plan and plan.index("substring(t") < plan.index("RLIKE(t")
+
+
+def shuffle_files(spark) -> set[str]:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def staged_tables(spark) -> set[str]:
+    folder = staged_path(spark).rpartition("/")[0].removeprefix("file:")
+    return {f"{d}/{name}" for d, names, _ in os.walk(folder) for name in names}
+
+
+def counts(spark, n):
+    return spark.range(1000).groupBy((F.col("id") % n).alias("k")).count()
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    one = stage(counts(spark, 7))
+    both = stage_all({"a": lambda: counts(spark, 3), "b": lambda: counts(spark, 4)})
+    assert not shuffle_files(spark) - before
+    assert [df.count() for df in (one, both["a"], both["b"])] == [7, 3, 4]
+    assert spark.conf.get(REMOVE_SHUFFLES, None) is None
+
+
+def test_removing_shuffles_is_taken_back_and_a_setting_of_the_session_stays(spark):
+    with pytest.raises(ZeroDivisionError):
+        with shuffles_removed(spark), shuffles_removed(spark):
+            assert spark.conf.get(REMOVE_SHUFFLES) == "true"
+            again = counts(spark, 5)
+            assert sorted(again.collect()) == sorted(again.collect())  # makes its shuffle anew
+            1 / 0
+    assert spark.conf.get(REMOVE_SHUFFLES, None) is None
+    spark.conf.set(REMOVE_SHUFFLES, "false")
+    try:
+        with shuffles_removed(spark):
+            assert spark.conf.get(REMOVE_SHUFFLES) == "false"
+        assert spark.conf.get(REMOVE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(REMOVE_SHUFFLES)
+
+
+def test_cleaning_in_turn_leaves_one_staged_table_and_the_same_rows(spark):
+    def raw():
+        rows = spark.range(300).selectExpr(
+            "if(id % 59 = 0, null, concat(' O-', id % 80)) as Order_ID", "'ann' as Customer_Name",
+            "if(id % 37 = 0, null, concat('c', id % 7, '@X.y ')) as Email", "'red box' as Product",
+            "if(id % 5 = 0, null, 'box') as Category", "if(id % 4 = 0, 'not_a_date', '2024-01-05') as Order_Date",
+            "'2' as Quantity", "'1.50' as Unit_Price", "if(id % 3 = 0, null, concat('$', id)) as Amount", "id",
+        )
+        return ordering.with_ordinal(rows, "ord", F.col("id").desc()).drop("id")
+
+    want = warehouse.clean(raw()).collect()
+    before, shuffles = staged_tables(spark), shuffle_files(spark)
+    got = warehouse.clean_in_turn(spark, raw)
+    assert len(staged_tables(spark) - before) == 1
+    assert not shuffle_files(spark) - shuffles
+    assert len(want) > 50 and sorted(map(str, got.collect())) == sorted(map(str, want))
+
+
+def test_appending_leaves_neither_staged_tables_nor_shuffle_files(spark, small):
+    orders = warehouse.clean(queries._raw_orders(spark, small, order=True))
+    early, name = F.month("order_date") <= 6, f"swept_{uuid.uuid4().hex}"
+
+    def star_of(part):
+        dimensions = warehouse.build_dimensions(part)
+        return {**dimensions, "fact_sales": stage(warehouse.fact_sales(part, dimensions).dropna(subset=warehouse.FACT))}
+
+    first, later = star_of(orders.filter(early)), star_of(orders.filter(~early))
+    n_later = later["fact_sales"].count()
+    spark.sql(f"CREATE DATABASE {name}")
+    before, shuffles = staged_tables(spark), shuffle_files(spark)
+    warehouse.load_star(spark, first, name)
+    added = warehouse.append_star(spark, later, name)
+    assert staged_tables(spark) == before
+    assert not shuffle_files(spark) - shuffles
+    assert added["fact_sales"] == n_later > 0
+    spark.sql(f"DROP DATABASE {name} CASCADE")
